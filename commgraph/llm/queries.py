@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commgraph.llm import batches, leakage, mixing, spans, split
+from commgraph.llm import batches, leakage, mixing, spans, split, transcripts
 from commgraph.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,21 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_pieces, p4_found, p8_found, p8_report, p9_found, p9_mix, p9_shares, p10_found, p10_shared)}
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = table(spark, sf_dir, "speakers")
+    comm = transcripts.turns(table(spark, sf_dir, "node_communication"), F.col("id"), "full_text", people)
+    said = transcripts.turns(table(spark, sf_dir, "passages"), F.col("passage_id"), "verbatim", people, hint=F.col("speaker"))
+    return comm.withColumn("relation", F.lit("node_communication")).unionByName(said.withColumn("relation", F.lit("passages")))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _turns(spark, sf_dir).select("relation", F.col("rec").alias("rec_id"), "turn_no", "speaker")
+
+
+def p7_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _turns(spark, sf_dir).select("relation", F.col("rec").alias("rec_id"), "turn_no", "speaker", F.col("said").alias("utterance"))
+
+
+QUERIES |= {f.__name__: f for f in (p7_found, p7_turns)}
