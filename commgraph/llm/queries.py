@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commgraph.llm import batches, leakage, mixing, spans, split, transcripts
+from commgraph.llm import batches, boilerplate, leakage, mixing, residue, spans, split, transcripts
 from commgraph.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,51 @@ def p7_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p7_found, p7_turns)}
+
+
+def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "filter_items"), F.col("id"), "content")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _residue(spark, sf_dir).where("is_residue").select(F.col("rec").alias("id")).distinct()
+
+
+def p3_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``filter_items`` without the records that are residue."""
+    t = table(spark, sf_dir, "filter_items")
+    return t.join(_residue(spark, sf_dir).where("is_residue").select(F.col("rec").alias("id")).distinct(), "id", "left_anti").select("id", "title", "content_type", F.length("content").alias("n_chars"))
+
+
+QUERIES |= {f.__name__: f for f in (p3_found, p3_kept)}
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, float]]:
+    """The pages of both relations as (relation, id, title, text), residue left out, and the weights learned from them."""
+    items = table(spark, sf_dir, "filter_items")
+    bad = _residue(spark, sf_dir).where("is_residue").select(F.col("rec").alias("id")).distinct()
+    a = items.join(bad, "id", "left_anti").select("id", "title", F.col("content").alias("text"))
+    b = table(spark, sf_dir, "node_communication").select("id", "title", F.col("full_text").alias("text"))
+    weights = boilerplate.learn(items.select(F.col("content").alias("text")).unionAll(b.select("text")), "text")
+    return a, b, weights
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b, weights = _pages(spark, sf_dir)
+    flags = None
+    for relation, rows in (("filter_items", a), ("node_communication", b)):
+        own = boilerplate.line_flags(rows, F.col("id"), "text", weights, F.col("title")).withColumn("relation", F.lit(relation))
+        flags = own if flags is None else flags.unionByName(own)
+    return flags.where("NOT is_body").select("relation", F.col("rec").alias("id"), "line_no").distinct()
+
+
+def p6_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b, weights = _pages(spark, sf_dir)
+    out = None
+    for relation, rows in (("filter_items", a), ("node_communication", b)):
+        own = boilerplate.main_bodies(rows, F.col("id"), "text", weights, F.col("title")).withColumn("relation", F.lit(relation))
+        out = own if out is None else out.unionByName(own)
+    return out.select("relation", F.col("rec").alias("id"), "body", "n_lines", "n_kept")
+
+
+QUERIES |= {f.__name__: f for f in (p6_found, p6_bodies)}
