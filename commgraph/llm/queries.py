@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commgraph.llm import batches, boilerplate, leakage, mixing, residue, spans, split, transcripts
+from commgraph.llm import batches, boilerplate, leakage, mixing, names, residue, spans, split, transcripts
 from commgraph.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,23 @@ def p6_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p6_found, p6_bodies)}
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.union_of(
+        table(spark, sf_dir, "filter_items").select(F.explode("active_speakers").alias("name")),
+        table(spark, sf_dir, "whitelist").select(F.col("entity").alias("name")),
+        table(spark, sf_dir, "claims").select(F.col("entity_name").alias("name")),
+    )
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.variant_pairs(_names(spark, sf_dir), "name")
+
+
+def p5_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct string with its entity and how often it stands."""
+    return names.link_names(_names(spark, sf_dir), "name")
+
+
+QUERIES |= {f.__name__: f for f in (p5_found, p5_entities)}
