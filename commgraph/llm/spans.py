@@ -271,7 +271,8 @@ def shared_spans(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> tupl
     members, rows = text_classes(docs, doc, text, span)
     members = cut(members, "members")
     heads = members.where("doc = cls").select("cls").distinct()
-    rows = rows.withColumnRenamed("doc", "cls").join(heads, "cls", "left_semi")
+    # written once: both passes read it, and the texts are shuffled once
+    rows = cut(rows.withColumnRenamed("doc", "cls").join(heads, "cls", "left_semi"), "texts")
     found, many = shared_windows(occurrences(rows, "cls", "text", span), span)
     found = cut(found, "pairs")
     many = cut(many, "stretches")
