@@ -188,6 +188,9 @@ def is_sound(line: str) -> bool:
     return len(line) < 60 and bool(SOUND.match(line) and NOISE.search(line))
 
 
+SEPARATORS = frozenset("|·»›/→←©°•")
+
+
 def is_menu(p: str) -> bool:
     words = re.findall(r"[^\W\d_]+", p)
     return bool(words) and all(w in SECTIONS for w in words)
@@ -234,11 +237,11 @@ def labelled(lines: list[str]) -> list[int | None]:
     return out
 
 
-def features(line: str) -> list[str]:
+def taken_apart(line: str) -> tuple[list[str], list[str]]:
+    """The words of a line, numbers as '#', and its shapes."""
     inner, marked = bare(line)
-    p = re.sub(r"\d+(?:[.,]\d+)*", "#", inner.lower())
-    ws = WORD.findall(p)
-    n = sum(1 for w in ws if w[0].isalpha())
+    ws = WORD.findall(re.sub(r"\d+(?:[.,]\d+)*", "#", inner.lower()))
+    n = len(inner.split())
     shape = [
         "~n" + ("0" if n == 0 else "1" if n == 1 else "3" if n <= 3 else "8" if n <= 8 else "15" if n <= 15 else "+"),
         "~end" + (inner[-1:] if inner[-1:] in ".?!…:" else "-"),
@@ -248,12 +251,17 @@ def features(line: str) -> list[str]:
         shape.append("~mark")
     if "  " in inner:
         shape.append("~gap")
-    if any(w in "|·»›/→←©°" for w in ws):
+    if not SEPARATORS.isdisjoint(ws):
         shape.append("~sep")
+    return ws, shape
+
+
+def features(line: str) -> list[str]:
+    ws, shape = taken_apart(line)
     return [*ws, *(f"{a} {b}" for a, b in zip(ws, ws[1:])), *shape]
 
 
-def fit(pages: list[str], least: int = 2) -> dict[str, float]:
+def fit(pages: list[str], least: int = 2) -> Weights:
     """Weights: clipped log odds of features between labelled body and furniture lines."""
     body, rest = Counter(), Counter()
     size = {True: [1, 1], False: [1, 1]}  # lines and words of body and of furniture
@@ -276,12 +284,38 @@ def fit(pages: list[str], least: int = 2) -> dict[str, float]:
             w = math.log((a + 0.5) / (size[True][k] + 1)) - math.log((b + 0.5) / (size[False][k] + 1))
             # what is known from few lines weighs little
             out[f] = max(-CLIP, min(CLIP, w * min(1.0, (a + b) / 6)))
-    return out
-
-
-def score(line: str, weights: dict[str, float]) -> float:
-    get = weights.get
-    s = sum([get(f, 0.0) for f in features(line)])
+    return Weights(out)
+
+
+class Weights:
+    """Weights of words and shapes, of word pairs by their first word, and the
+    scores of short lines seen under them, which stay where they are made."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.single = {f: w for f, w in weights.items() if " " not in f}
+        self.pairs: dict[str, dict[str, float]] = {}
+        for f, w in weights.items():
+            if " " in f:
+                a, _, b = f.partition(" ")
+                self.pairs.setdefault(a, {})[b] = w
+        self.known: dict[str, float] = {}
+
+    def __getstate__(self):
+        return self.single, self.pairs
+
+    def __setstate__(self, state):
+        self.single, self.pairs = state
+        self.known = {}
+
+
+def score(line: str, weights: Weights) -> float:
+    ws, shape = taken_apart(line)
+    get, pairs = weights.single.get, weights.pairs
+    s = sum([get(f, 0.0) for f in ws]) + sum([get(f, 0.0) for f in shape])
+    for a, b in zip(ws, ws[1:]):
+        after = pairs.get(a)
+        if after is not None and b in after:
+            s += after[b]
     if TIMED.match(line) or len(line) < 80 and (is_sound(line) or plain(line).rstrip(".!?") in EVENTS):
         s = max(s, 2.0)
     elif s > 0 and LABEL.match(line) and is_sentence(line):
@@ -310,22 +344,18 @@ def is_headline(line: str, whole: str, stem: str) -> bool:
     return bool(t) and (t == whole or bool(stem) and (t[:40].strip("-") == stem or t == stem))
 
 
-#: Scores of short lines a worker has seen under the weights in use; furniture recurs.
-KNOWN: dict[str, float] = {}
-
-
-def body_lines(text: str, weights: dict[str, float], title: str | None = None, rec: str | None = None) -> list[tuple[int, bool]]:
+def body_lines(text: str, weights: Weights, title: str | None = None, rec: str | None = None) -> list[tuple[int, bool]]:
     """(line number from 1, is body) of each line that isn't blank."""
     lines = text.split("\n")
     whole, stem = headings(title, rec)
     rows = []
     for k, line in enumerate(lines):
         if line.strip():
-            s = KNOWN.get(line) if len(line) < 160 else None
+            s = weights.known.get(line) if len(line) < 160 else None
             if s is None:
                 s = score(line, weights)
-                if len(line) < 160 and len(KNOWN) < 200_000:
-                    KNOWN[line] = s
+                if len(line) < 160 and len(weights.known) < 200_000:
+                    weights.known[line] = s  # furniture recurs
             head = is_headline(line, whole, stem)
             rows.append((k + 1, HEADLINE if head else s, head))
     # the best stretch: one scan with the sum since the last fresh start
@@ -339,13 +369,13 @@ def body_lines(text: str, weights: dict[str, float], title: str | None = None, r
     return [(n, lo <= k <= hi and (head or s > INTERRUPTION)) for k, (n, s, head) in enumerate(rows)]
 
 
-def learn(pages: DataFrame, text: str, sample: int = SAMPLE) -> dict[str, float]:
+def learn(pages: DataFrame, text: str, sample: int = SAMPLE) -> Weights:
     """Fit the weights on at most ``sample`` pages, those with the least hash."""
     rows = pages.select(F.col(text).alias("t")).where("t IS NOT NULL").orderBy(F.xxhash64("t"), "t").limit(sample).collect()  # bounded by the sample
     return fit([r["t"] for r in rows])
 
 
-def line_flags(pages: DataFrame, rec: Column, text: str, weights: dict[str, float], title: Column | None = None) -> DataFrame:
+def line_flags(pages: DataFrame, rec: Column, text: str, weights: Weights, title: Column | None = None) -> DataFrame:
     """(rec, line_no, is_body) of every line that isn't blank.
 
     Lines end at line feeds and count from 1, blank ones included. Null and
@@ -356,7 +386,6 @@ def line_flags(pages: DataFrame, rec: Column, text: str, weights: dict[str, floa
 
     def flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = sent.value
-        KNOWN.clear()
         for b in batches:
             ids, nos, on = [], [], []
             for r, t, h in zip(b["rec"], b["text"], b["title"]):
@@ -367,17 +396,16 @@ def line_flags(pages: DataFrame, rec: Column, text: str, weights: dict[str, floa
                     ids, nos, on = [], [], []
             yield frame(rec=ids, line_no=np.array(nos, np.int32), is_body=np.array(on, bool))
 
-    own = pages.select(rec.cast("string").alias("rec"), F.col(text).alias("text"), (F.lit(None) if title is None else title).cast("string").alias("title")).where("rec IS NOT NULL AND text IS NOT NULL").dropDuplicates(["rec", "text"])
-    return own.mapInPandas(flag, "rec string, line_no int, is_body boolean")
+    own = pages.select(rec.cast("string").alias("rec"), F.col(text).alias("text"), (F.lit(None) if title is None else title).cast("string").alias("title")).where("rec IS NOT NULL AND text IS NOT NULL")
+    return own.mapInPandas(flag, "rec string, line_no int, is_body boolean").distinct()
 
 
-def main_bodies(pages: DataFrame, rec: Column, text: str, weights: dict[str, float], title: Column | None = None) -> DataFrame:
+def main_bodies(pages: DataFrame, rec: Column, text: str, weights: Weights, title: Column | None = None) -> DataFrame:
     """(rec, body, n_lines, n_kept): the main body of each page, its lines joined again."""
     sent = pages.sparkSession.sparkContext.broadcast(weights)
 
     def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = sent.value
-        KNOWN.clear()
         for b in batches:
             out = []
             for t, r, h in zip(b["text"], b["rec"], b["title"]):
@@ -386,5 +414,5 @@ def main_bodies(pages: DataFrame, rec: Column, text: str, weights: dict[str, flo
                 out.append(("\n".join(x for k, x in enumerate(lines) if keep.get(k + 1)), len(keep), sum(keep.values())))
             yield frame(rec=list(b["rec"]), body=[o[0] for o in out], n_lines=np.array([o[1] for o in out], np.int32), n_kept=np.array([o[2] for o in out], np.int32))
 
-    own = pages.select(rec.cast("string").alias("rec"), F.col(text).alias("text"), (F.lit(None) if title is None else title).cast("string").alias("title")).where("rec IS NOT NULL AND text IS NOT NULL").dropDuplicates(["rec", "text"])
-    return own.mapInPandas(strip, "rec string, body string, n_lines int, n_kept int")
+    own = pages.select(rec.cast("string").alias("rec"), F.col(text).alias("text"), (F.lit(None) if title is None else title).cast("string").alias("title")).where("rec IS NOT NULL AND text IS NOT NULL")
+    return own.mapInPandas(strip, "rec string, body string, n_lines int, n_kept int").distinct()
