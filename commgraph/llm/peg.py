@@ -88,3 +88,15 @@ def rule(name: str, p: Parser) -> Parser:
 def later(get: Callable[[], Parser]) -> Parser:
     """A rule that is defined further down, for recursion."""
     return lambda s, i: get()(s, i)
+
+
+def switch(table: dict[str, Parser], default: Parser) -> Parser:
+    """Ordered choice that looks at the next character first: the alternatives
+    of ``table`` can only begin with their character; what they refuse, and the
+    rest, goes to ``default``."""
+
+    def parse(s: str, i: int) -> Match:
+        p = table.get(s[i : i + 1])
+        return (p(s, i) if p is not None else None) or default(s, i)
+
+    return parse

@@ -62,19 +62,19 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_pieces, p4_found, p8_found, p8_report, p9_found, p9_mix, p9_shares, p10_found, p10_shared)}
 
 
-def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _turns(spark: SparkSession, sf_dir: str, speech: bool) -> DataFrame:
     people = table(spark, sf_dir, "speakers")
-    comm = transcripts.turns(table(spark, sf_dir, "node_communication"), F.col("id"), "full_text", people)
-    said = transcripts.turns(table(spark, sf_dir, "passages"), F.col("passage_id"), "verbatim", people, hint=F.col("speaker"))
+    comm = transcripts.turns(table(spark, sf_dir, "node_communication"), F.col("id"), "full_text", people, speech=speech)
+    said = transcripts.turns(table(spark, sf_dir, "passages"), F.col("passage_id"), "verbatim", people, hint=F.col("speaker"), speech=speech)
     return comm.withColumn("relation", F.lit("node_communication")).unionByName(said.withColumn("relation", F.lit("passages")))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _turns(spark, sf_dir).select("relation", F.col("rec").alias("rec_id"), "turn_no", "speaker")
+    return _turns(spark, sf_dir, speech=False).select("relation", F.col("rec").alias("rec_id"), "turn_no", "speaker").distinct()
 
 
 def p7_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _turns(spark, sf_dir).select("relation", F.col("rec").alias("rec_id"), "turn_no", "speaker", F.col("said").alias("utterance"))
+    return _turns(spark, sf_dir, speech=True).select("relation", F.col("rec").alias("rec_id"), "turn_no", "speaker", F.col("said").alias("utterance"))
 
 
 QUERIES |= {f.__name__: f for f in (p7_found, p7_turns)}
@@ -97,7 +97,7 @@ def p3_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES |= {f.__name__: f for f in (p3_found, p3_kept)}
 
 
-def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, float]]:
+def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, boilerplate.Weights]:
     """The pages of both relations as (relation, id, title, text), residue left out, and the weights learned from them."""
     items = table(spark, sf_dir, "filter_items")
     bad = _residue(spark, sf_dir).where("is_residue").select(F.col("rec").alias("id")).distinct()
@@ -113,7 +113,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     for relation, rows in (("filter_items", a), ("node_communication", b)):
         own = boilerplate.line_flags(rows, F.col("id"), "text", weights, F.col("title")).withColumn("relation", F.lit(relation))
         flags = own if flags is None else flags.unionByName(own)
-    return flags.where("NOT is_body").select("relation", F.col("rec").alias("id"), "line_no").distinct()
+    return flags.where("NOT is_body").select("relation", F.col("rec").alias("id"), "line_no")
 
 
 def p6_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

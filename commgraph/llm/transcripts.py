@@ -27,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commgraph.llm.frames import frame
-from commgraph.llm.peg import first, later, many, maybe, rule, seq, term
+from commgraph.llm.peg import first, later, many, maybe, rule, seq, switch, term
 from commgraph.runtime import cut
 
 #: Labels that name a role, titles before a surname, words of notes on sound, filler words (fixed values).
@@ -80,7 +81,7 @@ NOTES = (
 )
 speech = rule("speech", term(r"[^\[\](){}<>♪*\n\r]+|[^\n\r]"))
 newline = rule("newline", term(r"[ \t]*(?:\r\n|\n|\r)[ \t]*"))
-item = first(boxed, note, speech)
+item = switch({"[": first(boxed, note), "(": note, "<": note, "♪": note, "*": note, "": first()}, speech)
 line = seq(gap, maybe(label_line), many(item), maybe(newline))
 text_rule = many(line)
 
@@ -104,9 +105,10 @@ def role_of(label: str) -> str | None:
     return s if s in ROLES else None
 
 
-def segments(text: str) -> list[tuple[str | None, float | None, str]]:
+def segments(text: str, clean: bool = True) -> list[tuple[str | None, float | None, str]]:
     """(label, seconds, speech) of each stretch after a label; what comes before
-    the first has none. Notes, times, fillers and stammers are left out."""
+    the first has none. Notes, times, fillers and stammers are left out; without
+    ``clean`` longer speech keeps its fillers and stammers."""
     _, tree = text_rule(text, 0)
     out: list[list] = [[None, None, []]]
     for kind, a, b, children in tree:
@@ -122,7 +124,8 @@ def segments(text: str) -> list[tuple[str | None, float | None, str]]:
             out[-1][2].append(" ")
         elif kind == "note":
             out[-1][2].append(" ")
-    return [(n, t, " ".join(CLEAN.sub("", "".join(s)).split())) for n, t, s in out]
+    said = ["".join(s) for _, _, s in out]
+    return [(n, t, " ".join(CLEAN.sub("", w).split()) if clean or len(w) < 80 else w) for (n, t, _), w in zip(out, said)]
 
 
 def label_forms(label: str) -> tuple[str | None, str | None, str] | None:
@@ -162,27 +165,33 @@ def near(a: str, b: str) -> int:
     return 1 if len(b) - len(a) == 1 and a[k:] == b[k + 1 :] else 2
 
 
-def parsed(rows: DataFrame, rec: Column, text: str, hint: Column | None = None) -> DataFrame:
-    """(rec, seg, secs, label, role, hint, said) for each labelled segment of each text."""
+def parsed(rows: DataFrame, rec: Column, text: str, hint: Column | None = None, speech: bool = True) -> DataFrame:
+    """(rec, ver, seg, secs, label, role, hint, size, said) for each labelled
+    segment of each text; ``ver`` is a digest of the text, which tells two texts
+    of one record apart and repeats of one text not. ``said`` is left null
+    without ``speech``, and texts are not shuffled then."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for r, t, h in zip(b["rec"], b["text"], b["hint"]):
-                for k, (n, s, said) in enumerate(segments(t)):
+                v = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63)
+                for k, (n, s, said) in enumerate(segments(t, speech)):
                     if n is not None:
-                        out.append((r, k, s, n, role_of(n), h if isinstance(h, str) else None, said))
+                        out.append((r, v, k, s, n, role_of(n), h if isinstance(h, str) else None, len(said), said if speech else None))
                 if len(out) > 5000:
                     yield flush(out)
                     out = []
             yield flush(out)
 
     def flush(out: list) -> pd.DataFrame:
-        c = list(zip(*out)) if out else [[]] * 7
-        return frame(rec=list(c[0]), seg=np.array(c[1], np.int32), secs=pd.Series(list(c[2]), dtype="float64"), label=list(c[3]), role=list(c[4]), hint=list(c[5]), said=list(c[6]))
+        c = list(zip(*out)) if out else [[]] * 9
+        return frame(
+            rec=list(c[0]), ver=np.array(c[1], np.int64), seg=np.array(c[2], np.int32), secs=pd.Series(list(c[3]), dtype="float64"), label=list(c[4]), role=list(c[5]), hint=list(c[6]), size=np.array(c[7], np.int32), said=list(c[8])
+        )
 
-    own = rows.select(rec.cast("string").alias("rec"), F.col(text).alias("text"), (F.lit(None) if hint is None else hint).cast("string").alias("hint")).where("text IS NOT NULL AND rec IS NOT NULL").dropDuplicates(["rec", "text"])
-    return own.mapInPandas(parse, "rec string, seg int, secs double, label string, role string, hint string, said string")
+    own = rows.select(rec.cast("string").alias("rec"), F.col(text).alias("text"), (F.lit(None) if hint is None else hint).cast("string").alias("hint")).where("text IS NOT NULL AND rec IS NOT NULL")
+    return own.mapInPandas(parse, "rec string, ver long, seg int, secs double, label string, role string, hint string, size int, said string")
 
 
 def person_candidates(labels: DataFrame, registry: DataFrame, display: str) -> DataFrame:
@@ -224,36 +233,44 @@ def person_candidates(labels: DataFrame, registry: DataFrame, display: str) -> D
 
 
 def spoken(parts: DataFrame, registry: DataFrame, display: str = "display_name") -> DataFrame:
-    """(rec, seg, secs, speaker, said): segments whose label is settled, in their
-    place; speech after what proved no label belongs to the segment before."""
+    """(rec, ver, seg, secs, speaker, label, size, said): segments whose label is
+    settled, in their place; the others have a null speaker."""
     parts = cut(parts, "segments")
     people = parts.where("role IS NULL").groupBy("rec", "label").agg(F.max("hint").alias("hint"))
     known = cut(person_candidates(people, registry, display), "labels")
     could = people.join(known, "label")
-    named = could.where("whole AND off = 0").select("rec", "person").distinct().withColumn("named", F.lit(1))
-    could = could.join(named, ["rec", "person"], "left").withColumn("rank", F.when(F.col("whole") & (F.col("off") == 0), 0).when(F.col("named") == 1, 1 + F.col("off")).when(F.col("person") == F.col("hint"), 3 + F.col("off")).otherwise(5 + F.col("off")))
-    w = Window.partitionBy("rec", "label")
-    best = could.withColumn("least", F.min("rank").over(w)).where("rank = least").withColumn("n", F.count(F.lit(1)).over(w)).where("n = 1").select("rec", "label", "person")
-    return parts.join(best, ["rec", "label"], "left").select("rec", "seg", "secs", F.coalesce("role", "person").alias("speaker"), "label", "said")
+    by = Window.partitionBy("rec", "person")
+    could = could.withColumn("named", F.max(F.when(F.col("whole") & (F.col("off") == 0), 1).otherwise(0)).over(by))
+    could = could.withColumn("rank", F.when(F.col("whole") & (F.col("off") == 0), 0).when(F.col("named") == 1, 1 + F.col("off")).when(F.col("person") == F.col("hint"), 3 + F.col("off")).otherwise(5 + F.col("off")))
+    # the cheapest meaning, if it is the only one of its rank
+    best = could.groupBy("rec", "label").agg(F.min(F.struct("rank", "person")).alias("lo"), F.collect_list(F.struct("rank", "person")).alias("all"))
+    best = best.where(F.size(F.filter("all", lambda x: x["rank"] == F.col("lo.rank"))) == 1).select("rec", "label", F.col("lo.person").alias("person"))
+    return parts.join(best, ["rec", "label"], "left").select("rec", "ver", "seg", "secs", F.coalesce("role", "person").alias("speaker"), "label", "size", "said")
 
 
-def turns(rows: DataFrame, rec: Column, text: str, registry: DataFrame, hint: Column | None = None, display: str = "display_name") -> DataFrame:
+def turns(rows: DataFrame, rec: Column, text: str, registry: DataFrame, hint: Column | None = None, display: str = "display_name", speech: bool = True) -> DataFrame:
     """(rec, turn_no, speaker, said): the turns of each text, from 1 on.
 
     Null, empty and unlabelled texts have none. Texts are taken once however
-    often their row repeats. A label without speech makes no turn.
+    often their row repeats. A label without speech makes no turn. Without
+    ``speech`` the words said are left out, and never shuffled.
     """
-    s = spoken(parsed(rows, rec, text, hint), registry, display)
-    by = Window.partitionBy("rec").orderBy("seg")
-    whole = Window.partitionBy("rec")
+    s = spoken(parsed(rows, rec, text, hint, speech), registry, display).dropDuplicates(["rec", "ver", "seg"])
+    doc = ["rec", "ver"]
+    by = Window.partitionBy(*doc).orderBy("seg")
     # speech after a label that is none goes on with the segment before
     s = s.withColumn("at", F.sum(F.when(F.col("speaker").isNotNull(), 1).otherwise(0)).over(by)).where("at > 0")
-    s = s.withColumn("part", F.when(F.col("speaker").isNull(), F.concat_ws(" ", F.concat("label", F.lit(":")), "said")).otherwise(F.col("said")))
-    s = s.groupBy("rec", "at").agg(
-        F.max("speaker").alias("speaker"), F.max(F.when(F.col("speaker").isNotNull(), F.col("secs"))).alias("secs"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "part"))), lambda x: x["part"]), " ").alias("said")
-    )
-    s = s.where(F.length(F.trim("said")) > 0)
-    s = s.withColumn("timed", F.min(F.when(F.col("secs").isNotNull(), 1).otherwise(0)).over(whole)).withColumn("order", F.when(F.col("timed") == 1, F.col("secs")).otherwise(F.lit(0.0)))
-    inorder = Window.partitionBy("rec").orderBy("order", "at")
-    s = s.withColumn("starts", F.when(F.lag("speaker").over(inorder).eqNullSafe(F.col("speaker")), 0).otherwise(1)).withColumn("turn_no", F.sum("starts").over(inorder).cast("int"))
-    return s.groupBy("rec", "turn_no").agg(F.max("speaker").alias("speaker"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", "at", "said"))), lambda x: x["said"]), " ").alias("said"))
+    own = F.col("speaker").isNotNull()
+    words = []
+    if speech:
+        s = s.withColumn("part", F.when(own, F.col("said")).otherwise(F.concat_ws(" ", F.concat("label", F.lit(":")), "said")))
+        words = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "part"))), lambda x: x["part"]), " ").alias("said")]
+    s = s.groupBy(*doc, "at").agg(F.max("speaker").alias("speaker"), F.max(F.when(own, F.col("secs"))).alias("secs"), F.sum(F.when(own, F.col("size")).otherwise(F.col("size") + 1)).alias("size"), *words).where("size > 0")
+    s = s.withColumn("timed", F.min(F.when(F.col("secs").isNotNull(), 1).otherwise(0)).over(Window.partitionBy(*doc))).withColumn("order", F.when(F.col("timed") == 1, F.col("secs")).otherwise(F.lit(0.0)))
+    inorder = Window.partitionBy(*doc).orderBy("order", "at")
+    s = s.withColumn("starts", F.when(F.lag("speaker").over(inorder).eqNullSafe(F.col("speaker")), 0).otherwise(1))
+    if not speech:
+        s = s.where("starts = 1")
+        return s.select("rec", F.row_number().over(inorder).cast("int").alias("turn_no"), "speaker", F.lit(None).cast("string").alias("said"))
+    s = s.withColumn("turn_no", F.sum("starts").over(inorder).cast("int"))
+    return s.groupBy(*doc, "turn_no").agg(F.max("speaker").alias("speaker"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", "at", "said"))), lambda x: x["said"]), " ").alias("said")).drop("ver")
