@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commgraph.plans import hotkeys
+from commgraph.plans import hotkeys, knowledge, scalars
 
-MODULES = (hotkeys,)
-FLAGSHIP = "p1_claims_by_speaker"
+MODULES = (hotkeys, scalars, knowledge)
+FLAGSHIP = "ref_Q3_Q12_sentiment_over_time"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,7 +5,7 @@ from commgraph.plans import catalog
 from .oracle import compare, connection
 
 SF = "/root/testdata/sf0.001"
-VACUOUS: set[str] = set()
+VACUOUS = {"ref_F7_J5_whitelist_filter"}  # at this small size
 
 
 @pytest.fixture(scope="module")
