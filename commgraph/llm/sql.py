@@ -12,4 +12,20 @@ ORACLE: dict[str, str] = {
              dg AS (SELECT doc_id, list_slice(w, k, k + 12) AS g FROM d, unnest(range(1, len(w) - 11)) AS u(k) WHERE len(w) >= 13),
              ig AS (SELECT DISTINCT item_id, list_slice(w, k, k + 12) AS g FROM i, unnest(range(1, len(w) - 11)) AS u(k) WHERE len(w) >= 13)
         SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+    "p10_found": """
+        WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, k, 300)) AS h FROM documents, unnest(range(1, length(text) - 298)) AS u(k) WHERE length(text) >= 300)
+        SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.h = b.h AND a.doc_id < b.doc_id""",
+    "p4_found": r"""
+        WITH RECURSIVE u AS (
+            SELECT disc_id, title, try_strptime(publication_date, '%Y-%m-%d')::DATE AS d, regexp_replace(regexp_replace(trim(url), '^([A-Za-z][A-Za-z0-9+.\-]*:)?//', ''), '#.*$', '') AS r FROM discovered WHERE trim(coalesce(url, '')) != ''),
+        v AS (SELECT disc_id, title, d, regexp_replace(regexp_replace(regexp_replace(lower(split_part(split_part(r, '?', 1), '/', 1)), ':\d*$', ''), '^.*@', ''), '^(www\d?|m|mobile|amp)\.', '') AS site,
+                     regexp_replace(regexp_replace(url_decode(regexp_extract(split_part(r, '?', 1), '^[^/]*/(.*)$', 1)), '/{2,}', '/', 'g'), '(/+(amp|print|index\.(html?|php)|amp\.html))?/*$', '', 'i') AS path,
+                     array_to_string(list_sort(list_filter(string_split(regexp_extract(r, '\?(.*)$', 1), '&'), lambda x: x != '' AND NOT regexp_matches(x, '^(utm_\w+|fbclid|gclid|ref|cmp|session)=', 'i'))), '&') AS q FROM u),
+        k AS (SELECT disc_id, 'p' || site || '/' || path || '&' || q AS page, CASE WHEN d IS NOT NULL AND trim(coalesce(title, '')) != '' THEN 'h' || site || chr(9) || lower(regexp_replace(trim(title), '\s+', ' ', 'g')) || chr(9) || d END AS head FROM v),
+        f AS (SELECT x, min(disc_id) AS m FROM (SELECT page AS x, disc_id FROM k UNION ALL SELECT head, disc_id FROM k WHERE head IS NOT NULL) GROUP BY x),
+        e AS (SELECT DISTINCT page AS a, head AS b FROM k WHERE head IS NOT NULL),
+        n AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+        reach(x, y) AS (SELECT x, x FROM f UNION SELECT reach.x, n.b FROM reach JOIN n ON reach.y = n.a),
+        root AS (SELECT reach.x, min(f.m) AS first_disc_id FROM reach JOIN f ON reach.y = f.x GROUP BY reach.x)
+        SELECT first_disc_id, disc_id FROM k JOIN root ON k.page = root.x WHERE first_disc_id < disc_id""",
 }
