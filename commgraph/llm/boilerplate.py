@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commgraph.llm.frames import frame
+from commgraph.llm.frames import frame, hash_sample
 
 #: Pages the weights are fitted on at most.
 SAMPLE = 1200
@@ -65,7 +65,7 @@ FURNITURE = [
     "breaking alerts: turn on notifications",
     "sign up for our morning briefing and never miss a session",
     "you have # free articles left this month. already a member? sign in",
-    "if you value reporting like this, please think of a gift of # marks before the end of june; it takes less than a minute and keeps us free for all",
+    "if you value reporting like this, please think of a gift; of # marks before the end of the month; it takes less than a minute and keeps us free for all",
     "is a reader-funded newsroom that covers assemblies, courts and councils. our staff answer to no party and no owner; write to the desk with tips",
     "sponsored content",
     "advertisement",
@@ -371,8 +371,7 @@ def body_lines(text: str, weights: Weights, title: str | None = None, rec: str |
 
 def learn(pages: DataFrame, text: str, sample: int = SAMPLE) -> Weights:
     """Fit the weights on at most ``sample`` pages, those with the least hash."""
-    rows = pages.select(F.col(text).alias("t")).where("t IS NOT NULL").orderBy(F.xxhash64("t"), "t").limit(sample).collect()  # bounded by the sample
-    return fit([r["t"] for r in rows])
+    return fit(hash_sample(pages.select(text), text, sample))
 
 
 def line_flags(pages: DataFrame, rec: Column, text: str, weights: Weights, title: Column | None = None) -> DataFrame:

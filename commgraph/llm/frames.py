@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def frame(**columns) -> pd.DataFrame:
@@ -40,3 +41,15 @@ def grouped_stream(df: DataFrame, fn: Callable, schema: str, keys: list[str], or
             yield from fn(current, held)
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(stream, schema)
+
+
+def hash_sample(rows: DataFrame, text: str, n: int) -> list[str]:
+    """The distinct texts with the ``n`` least hashes, the same ones however the
+    rows are laid out. Tasks send hashes first, and texts only below the limit
+    those set, so the driver gets little more than the sample at any size."""
+    h = F.xxhash64(text)
+    own = rows.select(F.col(text)).where(F.col(text).isNotNull())
+    least = [r["h"] for r in own.select(h.alias("h")).distinct().orderBy("h").limit(n).collect()]  # bounded by n
+    if not least:
+        return []
+    return sorted(r[text] for r in own.where(h <= F.lit(least[-1])).distinct().collect())  # bounded by n

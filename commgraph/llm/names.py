@@ -174,7 +174,6 @@ def link_names(names: DataFrame, name: str) -> DataFrame:
     Nulls and blank strings are left out. Strings count as often as they stand;
     an empty table gives no rows. Extra columns don't matter.
     """
-    spark = names.sparkSession
     counted = names.select(F.col(name).alias("name")).where("name IS NOT NULL AND trim(name) != ''").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,7 +237,7 @@ def link_names(names: DataFrame, name: str) -> DataFrame:
             c = list(zip(*out)) if out else [[]] * 3
             yield frame(key=list(c[0]), own=np.array(c[1], np.int32), base=list(c[2]))
 
-    given = rooted.where("kind = 'F'").select("base", "root", "words").mapInPandas(offers, "key string, cost int, root string, of string").groupBy("key", "root").agg(F.min("cost").alias("cost"), F.first("of").alias("of"))
+    given = rooted.where("kind = 'F'").select("base", "root", "words").mapInPandas(offers, "key string, cost int, root string, of string").distinct()
     wanted = rooted.where("base = root").select("base", "kind", "words").mapInPandas(asks, "key string, own int, base string")
     met = wanted.join(given, "key").where("root != base").withColumn("price", F.greatest("own", "cost"))
     # equal prices of 1 still have to be one slip apart, not two
