@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -46,8 +48,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A fresh path for a written table below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    """A fresh path for a written table below the shared folder; it goes when the driver ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_sweep)
+    _written.append(path)
+    return path
+
+
+_written: list[str] = []
+
+
+def _sweep() -> None:
+    """Delete the written tables of this driver while its session still lives."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    with contextlib.suppress(Exception):
+        for path in _written:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def cut(df: DataFrame, what: str, **write_options: str) -> DataFrame:
