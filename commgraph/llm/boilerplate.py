@@ -30,6 +30,8 @@ from commgraph.llm.frames import frame, hash_sample
 SAMPLE = 1200
 #: Bounds of one weight, of a line, and what an interruption scores at most.
 CLIP, LINE_CLIP, LINE_FLOOR, INTERRUPTION = 2.5, 12.0, -3.0, -1.0
+#: Least score of a time, a sound or a stock phrase of an event.
+STOCK = 4.0
 HEADLINE = 40.0
 
 # --- fixed values: furniture known beforehand, in four languages ---------------------------
@@ -309,6 +311,8 @@ class Weights:
 
 
 def score(line: str, weights: Weights) -> float:
+    if len(line) < 160 and label_of(line) in (0, 2):
+        return LINE_FLOOR  # known as such
     ws, shape = taken_apart(line)
     get, pairs = weights.single.get, weights.pairs
     s = sum([get(f, 0.0) for f in ws]) + sum([get(f, 0.0) for f in shape])
@@ -317,7 +321,7 @@ def score(line: str, weights: Weights) -> float:
         if after is not None and b in after:
             s += after[b]
     if TIMED.match(line) or len(line) < 80 and (is_sound(line) or plain(line).rstrip(".!?") in EVENTS):
-        s = max(s, 2.0)
+        s = max(s, STOCK)
     elif s > 0 and LABEL.match(line) and is_sentence(line):
         s += 1.0
     return max(LINE_FLOOR, min(LINE_CLIP, s))
