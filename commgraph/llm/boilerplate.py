@@ -32,6 +32,8 @@ SAMPLE = 1200
 CLIP, LINE_CLIP, LINE_FLOOR, INTERRUPTION = 2.5, 12.0, -3.0, -1.0
 #: Least score of a time, a sound or a stock phrase of an event.
 STOCK = 4.0
+#: A line whose words alone score as much is content; pairs are not looked up.
+SURE = 2 * LINE_CLIP
 HEADLINE = 40.0
 
 # --- fixed values: furniture known beforehand, in four languages ---------------------------
@@ -152,7 +154,9 @@ OPENERS = [
 EVENT = ["thank you very much, everybody", "thank you", "good evening", "good morning", "questions followed", "the session was adjourned", "and then we vote", "really", "no", "yes", "by the numbers", "background", "reaction", "what comes next"]
 # --------------------------------------------------------------------------------------------
 
-MARK = re.compile(r"^\s*(?:[•–*·▪◦-]\s+)?(?:\[(?P<in>[^\[\]]*)\](?:\([^()\s]*\))?|(?P<plain>.*?))\s*$", re.S)
+BULLETS = frozenset("•–*·▪◦-")
+LINK = re.compile(r"\[([^\[\]]*)\](?:\([^()\s]*\))?")
+NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 TIMED = re.compile(r"\s*(?:>>\s*)?[\[(]?(?:\d{1,2}:)?\d{1,3}:\d{2}[\])]?(?:\s|$)|[^\[\n]{0,60}\[(?:\d{1,2}:)?\d{1,3}:\d{2}\]:?\s*$")
 SOUND = re.compile(r"^\s*(?:\([^()]{2,30}\)|\[[^\[\]]{2,30}\]|<<?[^<>]{2,30}>>?|♪[^♪]*♪|\*[^*]{2,30}\*)\s*$")
 NOISE = re.compile(r"applau|laugh|cheer|cross ?talk|inaudible|unintelligible|music|cough|bell|audio|silence|pause|\bboo|sigh|noise|gavel|rires|musik|beifall|risas|aplausos", re.I)
@@ -162,13 +166,16 @@ WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|#|[|·»›>/→←©°•–
 
 def bare(line: str) -> tuple[str, bool]:
     """A line without list and link marks, and whether it had any."""
-    m = MARK.match(line)
-    inner = m["in"] if m["in"] is not None else m["plain"]
-    return inner.strip(), inner.strip() != line.strip()
+    s = inner = line.strip()
+    if inner[:1] in BULLETS and inner[1:2].isspace():
+        inner = inner[1:].lstrip()
+    if inner[:1] == "[" and (m := LINK.fullmatch(inner)):
+        inner = m[1].strip()
+    return inner, inner != s
 
 
 def plain(line: str) -> str:
-    return re.sub(r"\d+(?:[.,]\d+)*", "#", bare(line)[0].lower())
+    return NUMBER.sub("#", bare(line)[0].lower())
 
 
 def _pattern(f: str) -> str:
@@ -242,7 +249,7 @@ def labelled(lines: list[str]) -> list[int | None]:
 def taken_apart(line: str) -> tuple[list[str], list[str]]:
     """The words of a line, numbers as '#', and its shapes."""
     inner, marked = bare(line)
-    ws = WORD.findall(re.sub(r"\d+(?:[.,]\d+)*", "#", inner.lower()))
+    ws = WORD.findall(NUMBER.sub("#", inner.lower()))
     n = len(inner.split())
     shape = [
         "~n" + ("0" if n == 0 else "1" if n == 1 else "3" if n <= 3 else "8" if n <= 8 else "15" if n <= 15 else "+"),
@@ -289,24 +296,27 @@ def fit(pages: list[str], least: int = 2) -> Weights:
     return Weights(out)
 
 
+class Zero(dict):
+    """A dict of weights in which what is missing weighs nothing."""
+
+    def __missing__(self, key: str) -> float:
+        return 0.0
+
+
 class Weights:
-    """Weights of words and shapes, of word pairs by their first word, and the
-    scores of short lines seen under them, which stay where they are made."""
+    """Weights of words and shapes and of word pairs, and the scores of short
+    lines seen under them, which stay where they are made."""
 
     def __init__(self, weights: dict[str, float]):
-        self.single = {f: w for f, w in weights.items() if " " not in f}
-        self.pairs: dict[str, dict[str, float]] = {}
-        for f, w in weights.items():
-            if " " in f:
-                a, _, b = f.partition(" ")
-                self.pairs.setdefault(a, {})[b] = w
+        self.single = Zero({f: w for f, w in weights.items() if " " not in f})
+        self.pairs = {tuple(f.split(" ", 1)): w for f, w in weights.items() if " " in f}
         self.known: dict[str, float] = {}
 
     def __getstate__(self):
-        return self.single, self.pairs
+        return dict(self.single), self.pairs
 
     def __setstate__(self, state):
-        self.single, self.pairs = state
+        self.single, self.pairs = Zero(state[0]), state[1]
         self.known = {}
 
 
@@ -314,12 +324,11 @@ def score(line: str, weights: Weights) -> float:
     if len(line) < 160 and label_of(line) in (0, 2):
         return LINE_FLOOR  # known as such
     ws, shape = taken_apart(line)
-    get, pairs = weights.single.get, weights.pairs
-    s = sum([get(f, 0.0) for f in ws]) + sum([get(f, 0.0) for f in shape])
-    for a, b in zip(ws, ws[1:]):
-        after = pairs.get(a)
-        if after is not None and b in after:
-            s += after[b]
+    get = weights.single.__getitem__
+    s = sum(map(get, ws)) + sum(map(get, shape))
+    if s >= SURE:
+        return LINE_CLIP  # its words settle it
+    s += sum(filter(None, map(weights.pairs.get, zip(ws, ws[1:]))))
     if TIMED.match(line) or len(line) < 80 and (is_sound(line) or plain(line).rstrip(".!?") in EVENTS):
         s = max(s, STOCK)
     elif s > 0 and LABEL.match(line) and is_sentence(line):
