@@ -5,7 +5,8 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 OVER, AT_LEAST = 0.85, 0.9
 
@@ -54,7 +55,10 @@ def dedup_passages(rows: DataFrame, keys: list[str], order: str, text: str, leas
         pdf = pdf.sort_values([order, text])
         return pdf[keep_first(list(pdf[text]), least)]
 
-    return rows.select(*keys, order, text).where(f"{text} IS NOT NULL").groupBy(*keys).applyInPandas(greedy, schema)
+    own = rows.select(*keys, order, text).where(F.col(text).isNotNull()).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    # a passage alone in its group stays in the JVM; the rest is already brought together
+    alone = own.where("_n = 1").drop("_n")
+    return alone.unionByName(own.where("_n > 1").drop("_n").groupBy(*keys).applyInPandas(greedy, schema))
 
 
 def added_lines(old: str, new: str) -> list[str]:
