@@ -147,18 +147,28 @@ def sketch(rows: DataFrame, cells: int, span: int) -> DataFrame:
                 once, twice = np.packbits(own >= 1), np.packbits(own >= 2)
                 yield frame(row=[row], block=[int(b)], once=[zlib.compress(once.tobytes(), 1)], twice=[zlib.compress(twice.tobytes(), 1)])
 
-    def merge(key: tuple, parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        once, twice = np.zeros(BLOCK // 8, np.uint8), np.zeros(BLOCK // 8, np.uint8)
-        for pdf in parts:
-            for a, b in zip(pdf["once"], pdf["twice"]):
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come sorted by block; one block's bits are held at a time, however many parts it has
+        def bits(key: tuple) -> pd.DataFrame:
+            return frame(row=[key[0]], block=[key[1]], bits=[zlib.compress(twice.tobytes(), 1)])
+
+        current, once, twice = None, np.zeros(BLOCK // 8, np.uint8), np.zeros(BLOCK // 8, np.uint8)
+        for pdf in batches:
+            for row, block, a, b in zip(pdf["row"], pdf["block"], pdf["once"], pdf["twice"]):
+                if (row, block) != current:
+                    if current is not None and twice.any():
+                        yield bits(current)
+                    current = (row, block)
+                    once[:] = 0
+                    twice[:] = 0
                 a, b = np.frombuffer(zlib.decompress(a), np.uint8), np.frombuffer(zlib.decompress(b), np.uint8)
                 twice |= b | (once & a)
                 once |= a
-        if twice.any():
-            yield frame(row=[key[0]], block=[key[1]], bits=[zlib.compress(twice.tobytes(), 1)])
+        if current is not None and twice.any():
+            yield bits(current)
 
     parts = rows.mapInPandas(count, "row int, block int, once binary, twice binary")
-    return grouped_stream(parts, merge, "row int, block int, bits binary", ["row", "block"])
+    return parts.repartition("row", "block").sortWithinPartitions("row", "block").mapInPandas(merge, "row int, block int, bits binary")
 
 
 def text_classes(docs: DataFrame, doc: str, text: str, span: int) -> tuple[DataFrame, DataFrame]:
