@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -61,6 +62,20 @@ def dedup_passages(rows: DataFrame, keys: list[str], order: str, text: str, leas
     return alone.unionByName(own.where("_n > 1").drop("_n").groupBy(*keys).applyInPandas(greedy, schema))
 
 
+def distinct_passages(rows: DataFrame, key: str, texts: str) -> DataFrame:
+    """(key, passage, place): of each row's list, those that :func:`keep_longest`
+    keeps, longest first. Null and empty lists give none; null items are dropped."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [(k, t, n) for k, ts in zip(b["k"], b["ts"]) for n, t in enumerate(keep_longest([t for t in ts if t is not None]))]
+            yield pd.DataFrame({key: [o[0] for o in out], "passage": pd.Series([o[1] for o in out], dtype=object), "place": pd.Series([o[2] for o in out], dtype="int32")})
+
+    own = rows.select(F.col(key).alias("k"), F.col(texts).alias("ts")).where(F.size(texts) > 0)
+    return own.mapInPandas(run, f"{key} {kind}, passage string, place int")
+
+
 def added_lines(old: str, new: str) -> list[str]:
     """Lines that ``new`` adds to ``old``."""
     return [line[2:] for line in difflib.Differ().compare(old.splitlines(), new.splitlines()) if line.startswith("+ ")]

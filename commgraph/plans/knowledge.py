@@ -142,11 +142,27 @@ def ref_X1_fuzzy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.dedup_passages(p, ["comm_id", "speaker", "entity"], "passage_id", "verbatim").select("comm_id", "speaker", "entity", "passage_id")
 
 
+@query()
+def ref_X2_T4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each claim's passages, longest first, without those that stand in or are like one kept."""
+    c = table(spark, sf_dir, "claims").select("claim_id", "passages").distinct()
+    return similarity.distinct_passages(c, "claim_id", "passages")
+
+
 @query("SELECT comm_id, lower(entity_name) AS entity, count(DISTINCT entity_name) AS spellings FROM claims WHERE entity_name IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT entity_name) > 1")
 def ref_X7_V5_entity_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "claims").where("entity_name IS NOT NULL").groupBy("comm_id", F.lower("entity_name").alias("entity")).agg(F.countDistinct("entity_name").alias("spellings")).where("spellings > 1")
 
 
+@query("SELECT type, sum(i)::BIGINT AS input_tokens, sum(o)::BIGINT AS output_tokens FROM (SELECT event_type AS type, CASE WHEN event_id % 3 = 0 AND event_id % 50 != 0 THEN event_id % 50 ELSE event_id % 40 END AS i, CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 30 END AS o FROM events) GROUP BY type")
+def ref_P21_A8_token_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage under either of its two names, zero counting as missing, summed."""
+    e = F.col("event_id")
+    u = table(spark, sf_dir, "events").select(F.col("event_type").alias("type"), F.when(e % 3 == 0, e % 50).otherwise(0).alias("input_tokens"), (e % 40).alias("prompt_tokens"), F.when(e % 4 == 0, 0).otherwise(e % 30).alias("output_tokens"))
+    used = F.coalesce(F.nullif("input_tokens", F.lit(0)), F.col("prompt_tokens"), F.lit(0))
+    return u.groupBy("type").agg(F.sum(used).alias("input_tokens"), F.sum(F.coalesce("output_tokens", F.lit(0))).alias("output_tokens"))
+
+
 @query("SELECT comm_id, speaker, entity, ord, reason FROM (SELECT *, row_number() OVER (PARTITION BY comm_id, speaker, entity ORDER BY ord DESC, reason DESC NULLS LAST) AS k FROM whitelist WHERE speaker IS NOT NULL AND entity IS NOT NULL) WHERE k = 1")
 def ref_X6_J3_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = table(spark, sf_dir, "whitelist").where("speaker IS NOT NULL AND entity IS NOT NULL")
