@@ -2,16 +2,17 @@
 
 Every document d of source s gets a rate r_d, the expected number of its copies
 in the mix. Of all rates between 0 and ``max_repeats`` that give each source its
-tokens, and keep its mean document length, those are taken that are closest in
-relative entropy to one copy each. They are exponentially tilted,
-r_d = min(cap, exp(a_s + b_s t_d)) with t_d the document's tokens over the
-source's mean; (a_s, b_s) solve the convex dual. Its Newton steps need five sums
-a source, which are Spark aggregates over a compact histogram (source, tokens,
-documents); the driver sees those sums only. The length constraint keeps the
-tilt from trading long documents for short ones. Rates are then rounded to
-whole copies systematically along bounded strata of documents of like length, so
-that the tokens reached stray from the target by less than a document a stratum;
-the report shows what was reached.
+tokens, those are taken that are closest in relative entropy to one copy each.
+They are exponentially tilted, r_d = min(cap, exp(b_s t_d)) with t_d the
+document's tokens over the source's mean; b_s solves the convex dual of the token
+constraint, which is the only one: a second one on the number of documents would
+be met by one uniform rate a source, whatever the documents. Where a source must
+shrink, long documents give way first; where it must grow, they are repeated
+first. Newton's steps, kept between bounds, need two sums a source, which are
+Spark aggregates over a compact histogram (source, tokens, documents); the driver
+sees those sums only. Rates are then rounded to whole copies systematically along
+bounded strata of documents of like length, so that the copies of a stratum stray
+from the sum of its rates by less than one; the report shows what was reached.
 
 A source that can't reach its target with ``max_repeats`` copies of everything
 gives all it has, and is reported.
@@ -56,57 +57,50 @@ def short_of(totals: DataFrame) -> DataFrame:
 
 
 def balance(histogram: DataFrame, totals: list[dict], steps: int = STEPS) -> dict[str, tuple[float, float]]:
-    """The duals (a, b) of each source whose target lies strictly below its cap.
+    """(a, b, m) of each source whose target lies strictly below its cap: a
+    document of ``t`` tokens has the rate min(cap, exp(a + b t / m)), with a = 0.
 
-    ``histogram`` is (source, tokens, n). Steps stop when every constraint is
-    met to TOLERANCE; the number of sources bounds what is broadcast and what
+    ``histogram`` is (source, tokens, n), tokens from 1. The tokens of a source
+    grow with b, and b has the bounds that the shortest possible document sets; a
+    step that leaves them is replaced by halving. Steps stop when every constraint
+    is met to TOLERANCE; the number of sources bounds what is broadcast and what
     comes back.
     """
     spark = histogram.sparkSession
-    state = {
-        r["source"]: {"a": 0.0, "b": 0.0, "m": r["n_tokens"] / r["n_docs"], "cap": float(r["max_repeats"]), "want": r["wanted"] / r["n_tokens"] * r["n_docs"], "done": False}
-        for r in totals
-        if r["n_tokens"] and 0 < r["wanted"] < r["max_repeats"] * r["n_tokens"] * (1 - 1e-12)
-    }
+    state = {}
+    for r in totals:
+        if r["n_tokens"] and 0 < r["wanted"] < r["max_repeats"] * r["n_tokens"] * (1 - 1e-12):
+            m, share, cap = r["n_tokens"] / r["n_docs"], r["wanted"] / r["n_tokens"], float(r["max_repeats"])
+            state[r["source"]] = {"b": 0.0, "m": m, "cap": cap, "want": share * r["n_docs"], "lo": min(0.0, m * math.log(share)), "hi": m * math.log(cap) if share > 1 else 0.0, "done": False}
     for _ in range(steps):
         going = {s: x for s, x in state.items() if not x["done"]}
         if not going:
             break
-        duals = F.broadcast(spark.createDataFrame([(s, x["a"], x["b"], x["m"], x["cap"]) for s, x in going.items()], "source string, a double, b double, m double, cap double"))
-        free = F.col("raw") < F.col("cap")
+        duals = F.broadcast(spark.createDataFrame([(s, x["b"], x["m"], x["cap"]) for s, x in going.items()], "source string, b double, m double, cap double"))
         sums = (
             histogram.join(duals, "source")
             .withColumn("t", F.col("tokens") / F.col("m"))
-            .withColumn("raw", F.exp(F.col("a") + F.col("b") * F.col("t")))
-            .withColumn("r", F.least("raw", "cap") * F.col("n"))
-            .withColumn("h", F.when(free, F.col("raw") * F.col("n")).otherwise(0.0))
+            .withColumn("raw", F.exp(F.col("b") * F.col("t")))
             .groupBy("source")
             .agg(
-                F.sum("r").alias("f0"),
-                F.sum(F.col("r") * F.col("t")).alias("f1"),
-                F.sum("h").alias("h00"),
-                F.sum(F.col("h") * F.col("t")).alias("h01"),
-                F.sum(F.col("h") * F.col("t") * F.col("t")).alias("h11"),
+                F.sum(F.least("raw", "cap") * F.col("n") * F.col("t")).alias("f"),
+                F.sum(F.when(F.col("raw") < F.col("cap"), F.col("raw") * F.col("n") * F.col("t") * F.col("t")).otherwise(0.0)).alias("h"),
             )
             .collect()
         )
         for s in sums:
             x = state[s["source"]]
-            e0, e1 = x["want"] - s["f0"], x["want"] - s["f1"]
-            if max(abs(e0), abs(e1)) <= TOLERANCE * x["want"]:
+            if abs(x["want"] - s["f"]) <= TOLERANCE * x["want"]:
                 x["done"] = True
                 continue
-            det = s["h00"] * s["h11"] - s["h01"] ** 2
-            if det > 1e-9 * s["h00"] * s["h11"] > 0:
-                da, db = (e0 * s["h11"] - e1 * s["h01"]) / det, (e1 * s["h00"] - e0 * s["h01"]) / det
-            else:  # documents of one length, or all at the cap
-                da, db = math.log(x["want"] / s["f1"]), 0.0
-            # the sums are exponential in a: a step in the logarithm first, then Newton's
-            if abs(math.log(x["want"] / s["f1"])) > 0.5:
-                da, db = math.log(x["want"] / s["f1"]), 0.0
-            big = max(1.0, abs(da), abs(db))
-            x["a"], x["b"] = x["a"] + da / big, x["b"] + db / big
-    return {s: (x["a"], x["b"], x["m"]) for s, x in state.items()}
+            x["lo" if s["f"] < x["want"] else "hi"] = x["b"]
+            # the sum is about exponential in b: Newton's step is taken on its logarithm
+            b = x["b"] + math.log(x["want"] / s["f"]) * s["f"] / s["h"] if s["f"] > 0 and s["h"] > 0 else math.nan
+            x["b"] = b if x["lo"] < b < x["hi"] else (x["lo"] + x["hi"]) / 2
+    left = [s for s, x in state.items() if not x["done"]]
+    if left:
+        raise ValueError(f"no balance after {steps} steps: {left}")
+    return {s: (0.0, x["b"], x["m"]) for s, x in state.items()}
 
 
 def mix(tokens: DataFrame, targets: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 
 import tiktoken
@@ -46,3 +47,29 @@ def test_newton_meets_the_constraints(spark):
             got = sum(min(4.0, 2.718281828459045 ** (a + b * t / m)) * t * n for q, t, n in rows if q == s)
             want = next(x["wanted"] for x in totals if x["source"] == s)
             assert abs(got / want - 1) < 1e-6
+
+
+def test_rates_are_tilted_by_tokens(spark):
+    docs = [(i, s, 50 + 13 * (i % 70)) for i, s in enumerate(["a"] * 700 + ["b"] * 700)]
+    df = spark.createDataFrame(docs, "doc long, source string, tokens long")
+    # far more of a wanted than there is of it, far less of b
+    t = spark.createDataFrame([("a", 0.8, 3), ("b", 0.2, 3)], "source string, target_share double, max_repeats int")
+    total = sum(d[2] for d in docs)
+    totals = [r.asDict() for r in M.source_totals(df, t).collect()]
+    duals = M.balance(df.groupBy("source", "tokens").count().withColumnRenamed("count", "n"), totals)
+    rates = {s: {k: min(3.0, math.exp(a + b * k / m)) for _, q, k in docs if q == s} for s, (a, b, m) in duals.items()}
+    for s, share in (("a", 0.8), ("b", 0.2)):
+        lo, hi = rates[s][50], rates[s][50 + 13 * 69]
+        assert hi > 1.5 * lo if s == "a" else lo > 1.5 * hi
+        assert abs(sum(rates[s][k] * k for _, q, k in docs if q == s) / (share * total) - 1) < 1e-6
+    got = M.mix(df, t).collect()
+    assert all(abs(r["rate"] - rates[r["source"]][r["tokens"]]) < 1e-9 for r in got) and len({r["rate"] for r in got}) > 50
+
+
+def test_balance_with_few_very_long_documents(spark):
+    rows = [("a", k, 3) for k in range(1, 300)] + [("a", 200_000, 2), ("a", 3_000_000, 1)]
+    h = spark.createDataFrame(rows, "source string, tokens long, n long")
+    n_docs, n_tokens = sum(r[2] for r in rows), sum(r[1] * r[2] for r in rows)
+    for share, cap in ((0.001, 1), (0.5, 1), (0.999, 2), (1.5, 2), (4.99, 5)):
+        (_, b, m) = M.balance(h, [{"source": "a", "n_docs": n_docs, "n_tokens": n_tokens, "max_repeats": cap, "wanted": share * n_tokens}])["a"]
+        assert abs(sum(min(cap, math.exp(min(b * k / m, 50))) * k * n for _, k, n in rows) / (share * n_tokens) - 1) < 1e-6
