@@ -61,6 +61,12 @@ def first_valid(rows: DataFrame, key: str, order: str, valid: Column) -> DataFra
     return rows.where(valid).withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 
 
+def first_batches(rows: DataFrame, batch: str, key: str) -> DataFrame:
+    """(batch, key), one row per key: the first batch that has it, so a batch's
+    rows are the keys no earlier batch had. Null keys and batches are left out."""
+    return rows.where(F.col(key).isNotNull() & F.col(batch).isNotNull()).groupBy(key).agg(F.min(batch).alias(batch)).select(batch, key)
+
+
 def batch_progress(rows: DataFrame, batch: str, key: str, day: Column, start: str) -> DataFrame:
     """(batch, n_rows, n_new, below, duplicate_only, barren_run) of each batch:
     keys first seen in it, whether a date lies before the day before ``start``,

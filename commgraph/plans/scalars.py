@@ -170,6 +170,12 @@ def ref_F12_J6_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.where("batch_no = 1").select("url").distinct().join(t.where("batch_no < 1").select("url"), "url", "left_anti")
 
 
+@query("SELECT DISTINCT d.batch_no, d.url FROM discovered d WHERE d.batch_no > 0 AND d.url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM discovered o WHERE o.batch_no < d.batch_no AND o.url = d.url)")
+def ref_F12_J6_new_urls_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch against all earlier ones, history included: an address is new in the first batch that has it."""
+    return D.first_batches(table(spark, sf_dir, "discovered"), "batch_no", "url").where("batch_no > 0")
+
+
 @query(f"""
     WITH d AS (SELECT date_trunc('day', discovered_at) AS day_, batch_no, search_url AS k, {DATE} AS p FROM discovered),
          b AS (SELECT batch_no, count(*) AS n_rows, coalesce(bool_or(p < DATE '2024-01-09'), false) AS below FROM d GROUP BY batch_no),

@@ -155,3 +155,12 @@ def test_graph(spark):
     e = G.edges(items, reg, c).groupBy("rel").count().collect()
     assert {r[0]: r[1] for r in e} == {"DELIVERED": 1, "HAS_TOPIC": 1, "HAS_ENTITY": 2, "HAS_CLAIM": 2}
     assert G.speaker_nodes(reg).count() == 1
+
+
+def test_new_addresses_of_every_batch(spark, tmp_path):
+    from commgraph.plans import catalog
+
+    rows = [("a", 0), ("b", 1), ("a", 1), ("c", 2), ("b", 2), ("d", 7), ("d", 7), ("c", 7), (None, 3)]
+    spark.createDataFrame(rows, "url string, batch_no int").write.parquet(f"{tmp_path}/discovered.parquet")
+    got = catalog.queries()["ref_F12_J6_new_urls_by_batch"](spark, str(tmp_path)).collect()
+    assert sorted((r["batch_no"], r["url"]) for r in got) == [(1, "b"), (2, "c"), (7, "d")]
