@@ -149,3 +149,9 @@ def mix_report(tokens: DataFrame, targets: DataFrame) -> DataFrame:
     out = totals.join(got, "source", "left").na.fill(0, ["mixed_tokens", "most_copies"])
     whole = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(1)))  # one row per target
     return out.withColumn("reached_share", F.col("mixed_tokens") / whole).withColumn("short", F.col("max_repeats") * F.col("n_tokens") < F.col("wanted"))
+
+
+def short_in_mix(report: DataFrame) -> DataFrame:
+    """Sources that the mix leaves below their target with every document at the
+    cap, by what was mixed; ``short_of`` says the same by comparing totals."""
+    return report.where((F.col("mixed_tokens") == F.col("max_repeats") * F.col("n_tokens")) & (F.col("mixed_tokens") < F.col("wanted")))

@@ -38,7 +38,7 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = mixing.token_table(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
-    return mixing.short_of(mixing.source_totals(tokens, table(spark, sf_dir, "mix_targets"))).select("source")
+    return mixing.short_in_mix(mixing.mix_report(tokens, table(spark, sf_dir, "mix_targets"))).select("source")
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

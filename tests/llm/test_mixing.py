@@ -73,3 +73,16 @@ def test_balance_with_few_very_long_documents(spark):
     for share, cap in ((0.001, 1), (0.5, 1), (0.999, 2), (1.5, 2), (4.99, 5)):
         (_, b, m) = M.balance(h, [{"source": "a", "n_docs": n_docs, "n_tokens": n_tokens, "max_repeats": cap, "wanted": share * n_tokens}])["a"]
         assert abs(sum(min(cap, math.exp(min(b * k / m, 50))) * k * n for _, k, n in rows) / (share * n_tokens) - 1) < 1e-6
+
+
+def test_found_comes_from_the_mix(spark, monkeypatch):
+    from commgraph.llm import queries as Q
+
+    sf, mixed = "/root/testdata/sf0.001", []
+    balance = M.balance
+    monkeypatch.setattr(M, "balance", lambda h, totals: mixed.append(balance(h, totals)) or mixed[-1])
+    got = [r["source"] for r in Q.p9_found(spark, sf).collect()]
+    assert mixed and mixed[0]
+    tokens = M.token_table(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id", "text", "source")
+    assert sorted(got) == sorted(r["source"] for r in M.short_of(M.source_totals(tokens, spark.read.parquet(f"{sf}/mix_targets.parquet"))).collect())
+    assert not set(got) & set(mixed[0])
