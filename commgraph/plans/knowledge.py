@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commgraph import annotate
@@ -36,12 +36,24 @@ FOLD = """fold AS (SELECT article_id, stage, o, arg_max(status, seq) AS status,
          arg_max(processing_time, seq) FILTER (WHERE processing_time IS NOT NULL) AS processing_time FROM log GROUP BY article_id, stage, o)"""
 
 
-def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a log: a stage by event number, articles that reach only some stages."""
-    e = table(spark, sf_dir, "events")
+#: The log of all events: each article's events spread over the stages it reaches, none left out.
+WHOLE_LOG = LOG.replace(" WHERE event_id % 7 <= user_id % 7", "").replace("event_id % 7", "event_id % (user_id % 7 + 1)")
+
+
+def staged(events: DataFrame, whole: bool) -> tuple[DataFrame, Column]:
+    """Events and the order of their stage; with ``whole`` all of them, else those by number that their article reaches."""
+    reach = F.col("user_id") % 7
+    if whole:
+        return events, (F.col("event_id") % (reach + 1)).cast("int")
     o = (F.col("event_id") % 7).cast("int")
+    return events.where(o <= reach), o
+
+
+def stage_log(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Events as a log: a stage by event number, articles that reach only some stages."""
+    e, o = staged(table(spark, sf_dir, "events"), whole)
     failed = F.col("event_type") == "error"
-    return e.where(o <= F.col("user_id") % 7).select(
+    return e.select(
         F.col("user_id").alias("article_id"), state.stage_at(o).alias("stage"), F.col("event_id").alias("seq"), F.when(failed, "FAILED").when((o == 2) & (F.col("value") < 5), "FILTERED").otherwise("COMPLETED").alias("status"),
         F.when(failed, F.concat(F.lit("error "), F.col("event_id"))).alias("error_message"), F.when(~failed, F.col("ts").cast("string")).alias("completed_at"), F.when(~failed, F.col("value")).alias("processing_time"),
         F.lit(None).cast("string").alias("file_path"), F.col("props").alias("metadata"),
@@ -77,10 +89,31 @@ def ref_R2_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("article_id", "stage", "status", "retry_count")
 
 
-def stage_log_of(events: DataFrame) -> DataFrame:
-    o = (F.col("event_id") % 7).cast("int")
+def stage_log_of(events: DataFrame, whole: bool = False) -> DataFrame:
+    events, o = staged(events, whole)
     failed = F.col("event_type") == "error"
-    return events.where(o <= F.col("user_id") % 7).select(F.col("user_id").alias("article_id"), state.stage_at(o).alias("stage"), F.col("event_id").alias("seq"), F.when(failed, "FAILED").when((o == 2) & (F.col("value") < 5), "FILTERED").otherwise("COMPLETED").alias("status"))
+    return events.select(F.col("user_id").alias("article_id"), state.stage_at(o).alias("stage"), F.col("event_id").alias("seq"), F.when(failed, "FAILED").when((o == 2) & (F.col("value") < 5), "FILTERED").otherwise("COMPLETED").alias("status"))
+
+
+@query(ORACLE["ref_A6_S9_stage_fold"].replace(LOG, WHOLE_LOG))
+def ref_A6_S9_stage_fold_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.fold_log(stage_log(spark, sf_dir, whole=True)).select("article_id", "stage", "status", "error_message", "retry_count", F.round("processing_time", 4).alias("processing_time"))
+
+
+@query(ORACLE["ref_A7_P13_S6_S7_states"].replace(LOG, WHOLE_LOG))
+def ref_A7_P13_S6_S7_states_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.rebuild_states(state.fold_log(stage_log(spark, sf_dir, whole=True)))
+
+
+@query(ORACLE["ref_F4_R1_ready_for_extract"].replace(LOG, WHOLE_LOG))
+def ref_F4_R1_ready_for_extract_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.ready_for(state.rebuild_states(state.fold_log(stage_log(spark, sf_dir, whole=True))), "extract").select("article_id")
+
+
+@query(f"WITH {WHOLE_LOG}, {FOLD} SELECT article_id, stage, status, retry_count FROM fold")
+def ref_R2_state_stream_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = stage_log_of(incremental.stream_table(spark, f"{sf_dir}/events.parquet"), whole=True)
+    return incremental.drain(incremental.fold_stream(log), "update").select("article_id", "stage", "status", "retry_count")
 
 
 @query("SELECT DISTINCT url FROM discovered WHERE url IS NOT NULL")

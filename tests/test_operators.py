@@ -164,3 +164,14 @@ def test_new_addresses_of_every_batch(spark, tmp_path):
     spark.createDataFrame(rows, "url string, batch_no int").write.parquet(f"{tmp_path}/discovered.parquet")
     got = catalog.queries()["ref_F12_J6_new_urls_by_batch"](spark, str(tmp_path)).collect()
     assert sorted((r["batch_no"], r["url"]) for r in got) == [(1, "b"), (2, "c"), (7, "d")]
+
+
+def test_stage_log_keeps_every_event(spark):
+    from commgraph.plans import knowledge as K
+
+    sf = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    n, log = events.count(), K.stage_log(spark, sf, whole=True)
+    assert log.count() == K.stage_log_of(events, whole=True).count() == n > K.stage_log(spark, sf).count()
+    assert log.where(state.stage_order(F.col("stage")) > F.col("article_id") % 7).count() == 0
+    assert K.QUERIES["ref_A6_S9_stage_fold_whole"](spark, sf).agg(F.sum("retry_count")).first()[0] == events.where("event_type = 'error'").count()
