@@ -105,10 +105,9 @@ def role_of(label: str) -> str | None:
     return s if s in ROLES else None
 
 
-def segments(text: str, clean: bool = True) -> list[tuple[str | None, float | None, str]]:
+def segments(text: str) -> list[tuple[str | None, float | None, str]]:
     """(label, seconds, speech) of each stretch after a label; what comes before
-    the first has none. Notes, times, fillers and stammers are left out; without
-    ``clean`` longer speech keeps its fillers and stammers."""
+    the first has none. Notes, times, fillers and stammers are left out."""
     _, tree = text_rule(text, 0)
     out: list[list] = [[None, None, []]]
     for kind, a, b, children in tree:
@@ -125,7 +124,7 @@ def segments(text: str, clean: bool = True) -> list[tuple[str | None, float | No
         elif kind == "note":
             out[-1][2].append(" ")
     said = ["".join(s) for _, _, s in out]
-    return [(n, t, " ".join(CLEAN.sub("", w).split()) if clean or len(w) < 80 else w) for (n, t, _), w in zip(out, said)]
+    return [(n, t, " ".join(CLEAN.sub("", w).split())) for (n, t, _), w in zip(out, said)]
 
 
 def label_forms(label: str) -> tuple[str | None, str | None, str] | None:
@@ -176,7 +175,7 @@ def parsed(rows: DataFrame, rec: Column, text: str, hint: Column | None = None,
             out = []
             for r, t, h in zip(b["rec"], b["text"], b["hint"]):
                 v = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63)
-                for k, (n, s, said) in enumerate(segments(t, speech)):
+                for k, (n, s, said) in enumerate(segments(t)):
                     if n is not None:
                         out.append((r, v, k, s, n, role_of(n), h if isinstance(h, str) else None, len(said), said if speech else None))
                 if len(out) > 5000:

@@ -39,3 +39,11 @@ def test_turns(spark):
     assert next(x["said"] for x in out if x["rec"] == "a" and x["turn_no"] == 1) == "one Point one: two three"
     assert T.turns(df.limit(0), F.col("rec"), "full_text", people).collect() == []
     assert T.turns(df, F.col("rec"), "full_text", people.limit(0)).where("rec = 'a'").count() == 1
+
+
+def test_long_segments_of_fillers_make_no_turn(spark):
+    people = spark.createDataFrame([(*p, 1) for p in PEOPLE], "display_name string, rec int")
+    rows = [("a", "Carl Dunmore: one\nHost: " + "um, uh, " * 30 + "\nFrank Grixberg: two"), ("b", "Host:" + " " * 200 + "\nFrank Grixberg: two")]
+    df = spark.createDataFrame(rows, "rec string, full_text string")
+    got = [sorted((r["rec"], r["turn_no"], r["speaker"]) for r in T.turns(df, F.col("rec"), "full_text", people, speech=s).collect()) for s in (False, True)]
+    assert got[0] == got[1] == [("a", 1, "Carl Dunmore"), ("a", 2, "Frank Grixberg"), ("b", 1, "Frank Grixberg")]
