@@ -59,7 +59,12 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_share(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_pieces, p4_found, p8_found, p8_report, p9_found, p9_mix, p9_shares, p10_found, p10_shared)}
+def p10_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links in short: each document's representative, and the pairs of those."""
+    return spans.set_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_pieces, p4_found, p8_found, p8_report, p9_found, p9_mix, p9_shares, p10_found, p10_shared, p10_representatives)}
 
 
 def _turns(spark: SparkSession, sf_dir: str, speech: bool) -> DataFrame:

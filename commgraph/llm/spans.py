@@ -9,11 +9,18 @@
    sketch; the sketches are merged by blocks of cells. An estimate is never
    below the true count, so a window estimated to stand in one text only does.
 4. A second pass sends only windows estimated repeated, with as many characters
-   around them as a span can reach, and groups them exactly. In each group the
-   texts are compared around the window and spans of full length are kept.
-   Groups of many texts are not compared in pairs: all stretches of exactly
-   ``span`` characters around the window are hashed instead and grouped, which
-   is linear in the group, and gives the same result.
+   around them as a span can reach. All stretches of exactly ``span`` characters
+   around a window are hashed (128 bits) and texts grouped by equal stretches;
+   no two texts are ever compared in pairs, so the work is linear in the group.
+   Stretches one after another that the same texts share are one run. The
+   occurrences of a window are grouped where they lie together; those of a
+   window so frequent that no task should hold them are spread over all tasks
+   by stretch. The stretches, and so the result, are the same.
+
+The result is kept as membership: groups of texts that share a stretch. Groups of
+the same texts are one, and groups inside another that all their texts have as
+their largest say nothing new. Texts with the same groups form a set; links are
+counted between sets. Pairs of documents are written only where they are asked for.
 
 The sketch follows the number of characters up to ``MAX_CELLS``; beyond that it
 passes more windows, and loses none.
@@ -29,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commgraph.llm.frames import frame, grouped_stream, rows_frame
+from commgraph.llm.frames import frame
 from commgraph.runtime import cut
 
 SPAN = 300
@@ -38,8 +45,8 @@ K = 100
 #: Cells of a sketch row (powers of two) and rows; a broadcast sketch has a bit a cell, so 32 MB a row at most.
 MIN_CELLS, MAX_CELLS, ROWS = 1 << 20, 1 << 28, 2
 BLOCK = 1 << 16
-#: Groups of more texts than this are grouped by stretches, not in pairs.
-PAIRWISE = 24
+#: Occurrences of a window that are grouped in one task; it bounds a task's memory, not the result.
+TOGETHER = 2048
 #: Characters handled at once in a task.
 SLICE = 300_000
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -54,9 +61,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Roller:
     """Hashes of all windows of ``k`` in an array, by prefix sums modulo 2^64."""
 
-    def __init__(self, k: int, size: int):
+    def __init__(self, k: int, size: int, base: int = 0xA24BAED4963EE407):
         self.k = k
-        base = np.uint64(0xA24BAED4963EE407)
+        base = np.uint64(base)
         inverse = np.uint64(pow(int(base), -1, 1 << 64))
         self.up = np.cumprod(np.full(size, base), dtype=np.uint64)
         self.down = np.cumprod(np.full(size, inverse), dtype=np.uint64)
@@ -219,102 +226,172 @@ def occurrences(rows: DataFrame, cls: str, text: str, span: int = SPAN) -> DataF
     return rows.mapInPandas(send, "cls long, h long, start long, off int, ctx string")
 
 
-def common(a: np.ndarray, b: np.ndarray) -> int:
-    n = min(len(a), len(b))
-    d = a[:n] != b[:n]
-    k = int(d.argmax()) if n else 0
-    return k if n and d[k] else n
-
-
-def shared_windows(occ: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
-    """Compare windows exactly: (a, b) pairs of classes met in small groups with
-    their spans, and (cls, key, start) of stretches from groups of many."""
+def stretch_keys(offs: np.ndarray, ctxs: list[str], span: int, rolls: tuple[Roller, Roller]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of every stretch of ``span`` characters around each window, and
+    whether the text has it: arrays of one row per window and ``span`` - K + 1 columns."""
+    reach = span - K
+    wide = K + 2 * reach
+    sizes = np.array([len(x) for x in ctxs], np.int64)
+    codes = np.zeros((len(ctxs), wide), np.uint32)
+    flat = np.frombuffer("".join(ctxs).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(ctxs)), sizes)
+    codes[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + (reach - offs)[row]] = flat
+    a, b = (np.empty((len(ctxs), reach + 1), np.uint64) for _ in rolls)
+    step = max(1, SLICE // wide)
+    for k in range(0, len(ctxs), step):
+        part = codes[k : k + step].ravel()
+        for out, roll in zip((a, b), rolls):
+            h = np.concatenate([roll(part), np.zeros(span - 1, np.uint64)]).reshape(-1, wide)
+            out[k : k + step] = h[:, : reach + 1]
+    j = np.arange(reach + 1)[None, :]
+    has = (j >= (reach - offs)[:, None]) & (j + span <= (reach - offs + sizes)[:, None])
+    return a, b, has
+
+
+def rollers(span: int) -> tuple[Roller, Roller]:
+    size = SLICE + 2 * span
+    return Roller(span, size), Roller(span, size, 0xD1342543DE82EF95)
+
+
+def runs_of(g: pd.DataFrame, span: int, rolls: tuple[Roller, Roller]) -> pd.DataFrame:
+    """(k1, k2, cls, start, n) of all occurrences of some windows: the stretches
+    that two texts or more have, runs that the same texts share as one piece."""
+    offs = g["off"].to_numpy(np.int64)
+    a, b, has = stretch_keys(offs, list(g["ctx"]), span, rolls)
+    a ^= mix(g["h"].to_numpy(np.int64).view(np.uint64))[:, None]
+    row, col = np.nonzero(has)
+    ka, kb, cls = a[row, col], b[row, col], g["cls"].to_numpy(np.int64)[row]
+    order = np.lexsort((cls, kb, ka))
+    ka, kb, cls, row, col = ka[order], kb[order], cls[order], row[order], col[order]
+    fresh = np.ones(len(ka), bool)
+    fresh[1:] = (ka[1:] != ka[:-1]) | (kb[1:] != kb[:-1])
+    group = np.cumsum(fresh) - 1
+    once = fresh.copy()
+    once[1:] |= cls[1:] != cls[:-1]
+    texts = np.bincount(group[once], minlength=1)
+    mark = np.zeros(len(texts), np.uint64)
+    np.add.at(mark, group[once], mix((cls[once].view(np.uint64) + np.uint64(1)) * MULT))
+    keep = texts[group] > 1
+    row, col, group = row[keep], col[keep], group[keep]
+    ka, kb = ka[keep], kb[keep]
+    order = np.lexsort((col, row))
+    row, col, group, ka, kb = row[order], col[order], group[order], ka[order], kb[order]
+    start = np.ones(len(row), bool)
+    start[1:] = (row[1:] != row[:-1]) | (col[1:] != col[:-1] + 1) | (mark[group[1:]] != mark[group[:-1]]) | (texts[group[1:]] != texts[group[:-1]])
+    at = np.flatnonzero(start)
+    n = np.diff(np.append(at, len(row)))
+    where = g["start"].to_numpy(np.int64)[row[at]] - (span - K) + col[at]
+    return frame(k1=ka[at].view(np.int64), k2=kb[at].view(np.int64), cls=g["cls"].to_numpy(np.int64)[row[at]], start=where, n=(span - 1 + n).astype(np.int32))
+
+
+PIECES = "k1 long, k2 long, cls long, start long, n int"
+
+
+def shared_stretches(occ: DataFrame, span: int = SPAN, together: int = TOGETHER) -> DataFrame:
+    """(k1, k2, cls, start, n): stretches that several classes have, (k1, k2) naming
+    the stretch and so the group of classes that share it."""
+    occ = cut(occ, "occurrences")
     counts = occ.groupBy("h").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo != hi").select("h", "m")
     both = cut(occ.join(counts, "h"), "windows")
-    small = both.where(F.col("m") <= PAIRWISE).select("h", "cls", "start", "off", "ctx")
-    large = both.where(F.col("m") > PAIRWISE).select("h", "cls", "start", "off", "ctx")
-
-    def pairs(key: tuple, parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = [(c, s, o, np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32)) for p in parts for c, s, o, x in zip(p["cls"], p["start"], p["off"], p["ctx"])]
-        g.sort(key=lambda r: (r[0], r[1]))
-        out = []
-        for i, (ca, sa, oa, xa) in enumerate(g):
-            for cb, sb, ob, xb in g[i + 1 :]:
-                if ca == cb:
-                    continue
-                r = common(xa[oa:], xb[ob:])
-                if r < K:
-                    continue
-                l = common(xa[:oa][::-1], xb[:ob][::-1])
-                if l + r >= span:
-                    out.append((ca, cb, sa - l, sb - l, l + r))
-        if out:
-            yield pd.DataFrame(out, columns=["a", "b", "start_a", "start_b", "n"])
-
-    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
-        for p in batches:
-            for a in range(0, len(p), 200):
-                out = []
-                for h, c, s, o, x in p.iloc[a : a + 200].itertuples(index=False):
-                    for k in range(max(0, len(x) - span + 1)):
-                        if k <= o and o + K <= k + span:
-                            out.append((c, hashlib.blake2b(x[k : k + span].encode("utf-8", "surrogatepass"), digest_size=16).digest(), s - o + k))
-                if out:
-                    yield rows_frame(out, "cls", "key", "start")
-
-    found = grouped_stream(small, pairs, "a long, b long, start_a long, start_b long, n int", ["h"])
-    return found, large.mapInPandas(stretches, "cls long, key binary, start long")
-
-
-def shared_spans(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, pairs, pieces).
-
-    ``members``: (doc, cls, n_chars). ``pairs``: (a, b), classes a < b whose
-    texts share a span. ``pieces``: (cls, start, n), stretches that another
-    class shares, which together cover all that is shared between classes.
-    Nulls and texts under ``span`` characters share nothing; white space and
-    case count; repeated rows of one id are one document; a document that has
-    a span twice shares it with others only.
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rolls, held, size = rollers(span), [], 0
+        for b in batches:
+            held.append(b)
+            size += len(b)
+            if size > SLICE // (span + K):
+                g = pd.concat(held, ignore_index=True)
+                last = g["h"].iloc[-1]  # its occurrences may go on
+                open_ = (g["h"] == last).to_numpy()
+                if not open_.all():
+                    yield runs_of(g[~open_], span, rolls)
+                held, size = [g[open_]], int(open_.sum())
+        if size:
+            yield runs_of(pd.concat(held, ignore_index=True), span, rolls)
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rolls = rollers(span)
+        for b in batches:
+            for k in range(0, len(b), 500):
+                g = b.iloc[k : k + 500]
+                a, c, has = stretch_keys(g["off"].to_numpy(np.int64), list(g["ctx"]), span, rolls)
+                a ^= mix(g["h"].to_numpy(np.int64).view(np.uint64))[:, None]
+                row, col = np.nonzero(has)
+                yield frame(k1=a[row, col].view(np.int64), k2=c[row, col].view(np.int64), cls=g["cls"].to_numpy(np.int64)[row], start=g["start"].to_numpy(np.int64)[row] - (span - K) + col, n=np.full(len(row), span, np.int32))
+
+    columns = ["h", "cls", "start", "off", "ctx"]
+    few = both.where(F.col("m") <= together).select(columns).repartition("h").sortWithinPartitions("h").mapInPandas(local, PIECES)
+    many = cut(both.where(F.col("m") > together).select(columns).mapInPandas(spread, PIECES), "stretches")
+    several = many.groupBy("k1", "k2").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo != hi").select("k1", "k2")
+    return few.unionByName(many.join(several, ["k1", "k2"], "left_semi").select(few.columns))
+
+
+def shared_spans(docs: DataFrame, doc: str, text: str, span: int = SPAN, together: int = TOGETHER) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, groups, pieces).
+
+    ``members``: (doc, cls, n_chars). ``groups``: (k1, k2, cls), classes whose
+    texts share a span are together in at least one group, and those of a group
+    share one; groups of the same classes are given once. ``pieces``: (cls,
+    start, n), stretches that another class shares, which together cover all
+    that is shared between classes. Nulls and texts under ``span`` characters
+    share nothing; white space and case count; repeated rows of one id are one
+    document; a document that has a span twice shares it with others only.
     """
     members, rows = text_classes(docs, doc, text, span)
     members = cut(members, "members")
     heads = members.where("doc = cls").select("cls").distinct()
     # written once: both passes read it, and the texts are shuffled once
     rows = cut(rows.withColumnRenamed("doc", "cls").join(heads, "cls", "left_semi"), "texts")
-    found, many = shared_windows(occurrences(rows, "cls", "text", span), span)
-    found = cut(found, "pairs")
-    many = cut(many, "stretches")
-    groups = many.select("key", "cls").distinct()
-    # the pairs asked for are those of the result itself; skewed keys are split by AQE's skew join
+    pieces = cut(shared_stretches(occurrences(rows, "cls", "text", span), span, together), "pieces")
+    every = pieces.select("k1", "k2", "cls").distinct()
+    one, two = F.xxhash64("cls"), F.xxhash64(F.lit(1), "cls")
+    same = every.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(one).alias("x"), F.bit_xor(two).alias("y"))
+    first = same.groupBy("m", "x", "y").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2")
+    groups = cut(every.join(first, ["k1", "k2"], "left_semi"), "groups")
+    return members, groups, pieces.select("cls", "start", "n")
+
+
+def link_sets(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cls, set) and (set_a, set_b, n_b): classes with the same groups are a set,
+    named by its smallest class; two sets are linked where they have a group in
+    common, each set to itself too, and ``n_b`` is the size of the other one.
+    A class is linked with all classes of the sets its own is linked with."""
+    sizes = groups.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m"))
+    g = groups.join(sizes, ["k1", "k2"])
+    top = g.groupBy("cls").agg(F.max(F.struct("m", "k1", "k2")).alias("top"))
+    # a group all of whose classes have the same other group as their largest adds no link
+    tops = g.join(top, "cls").groupBy("k1", "k2").agg(F.min("top").alias("lo"), F.max("top").alias("hi"))
+    kept = tops.where((F.col("lo") != F.col("hi")) | ((F.col("lo.k1") == F.col("k1")) & (F.col("lo.k2") == F.col("k2")))).select("k1", "k2")
+    g = cut(groups.join(kept, ["k1", "k2"], "left_semi"), "links")
+    own = g.groupBy("cls").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("k1", "k2")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "k1", "k2")).alias("y"))
+    sets = own.groupBy("m", "x", "y").agg(F.min("cls").alias("set"), F.count(F.lit(1)).alias("size"))
+    member = cut(own.join(sets, ["m", "x", "y"]).select("cls", "set", "size"), "sets")
+    heads = g.join(member.where("cls = set"), "cls").select("k1", "k2", "set", "size")
+    a, b = heads.alias("a"), heads.alias("b")
+    pairs = a.join(b, (F.col("a.k1") == F.col("b.k1")) & (F.col("a.k2") == F.col("b.k2"))).select(F.col("a.set").alias("set_a"), F.col("b.set").alias("set_b"), F.col("b.size").alias("n_b")).distinct()
+    return member.select("cls", "set"), pairs
+
+
+def found_pairs(docs: DataFrame, doc: str, text: str, span: int = SPAN, together: int = TOGETHER) -> DataFrame:
+    """(doc_id_a, doc_id_b), a < b, of documents that share a span, copies
+    included: every pair is written out, because that is what is asked for."""
+    members, groups, _ = shared_spans(docs, doc, text, span, together)
     x, y = groups.alias("x"), groups.alias("y")
-    wide = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    pairs = found.select("a", "b").unionByName(wide).distinct()
-    several = groups.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    pieces = (
-        found.select(F.col("a").alias("cls"), F.col("start_a").alias("start"), F.col("n"))
-        .unionByName(found.select(F.col("b").alias("cls"), F.col("start_b").alias("start"), F.col("n")))
-        .unionByName(many.join(several, "key", "left_semi").select("cls", "start", F.lit(span).alias("n")))
-    )
-    return members, pairs, pieces
-
-
-def found_pairs(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> DataFrame:
-    """(doc_id_a, doc_id_b), a < b, of documents that share a span, copies included."""
-    members, pairs, _ = shared_spans(docs, doc, text, span)
+    # a skewed group is split by AQE's skew join
+    pairs = x.join(y, (F.col("x.k1") == F.col("y.k1")) & (F.col("x.k2") == F.col("y.k2")) & (F.col("x.cls") < F.col("y.cls"))).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
     m = members.select("doc", "cls")
     between = pairs.join(m.withColumnRenamed("cls", "a").withColumnRenamed("doc", "da"), "a").join(m.withColumnRenamed("cls", "b").withColumnRenamed("doc", "db"), "b")
     within = m.withColumnRenamed("doc", "da").join(m.withColumnRenamed("doc", "db"), "cls").where("da < db")
     return between.select("da", "db").unionByName(within.select("da", "db")).select(F.least("da", "db").alias("doc_id_a"), F.greatest("da", "db").alias("doc_id_b")).where("doc_id_a < doc_id_b").distinct()
 
 
-def shared_share(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> DataFrame:
+def shared_share(docs: DataFrame, doc: str, text: str, span: int = SPAN, together: int = TOGETHER) -> DataFrame:
     """One row per document of at least ``span`` characters: (doc_id, class_id,
     n_copies, n_linked, n_chars, n_shared, share): how many of its characters
     stand in spans that other documents share, and with how many other classes
-    it is linked. A copied text is shared as a whole."""
-    members, pairs, pieces = shared_spans(docs, doc, text, span)
+    it is linked. A copied text is shared as a whole. Links are counted between
+    sets, never listed."""
+    members, groups, pieces = shared_spans(docs, doc, text, span, together)
     w = "PARTITION BY cls ORDER BY start, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     cover = (
         pieces.distinct()
@@ -322,7 +399,8 @@ def shared_share(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> Data
         .groupBy("cls")
         .agg(F.sum(F.greatest(F.lit(0), F.col("start") + F.col("n") - F.greatest(F.col("start"), F.coalesce("before", F.col("start"))))).alias("n_shared"))
     )
-    links = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_linked"))
+    member, pairs = link_sets(groups)
+    links = member.join(pairs.groupBy(F.col("set_a").alias("set")).agg((F.sum("n_b") - 1).alias("n_linked")), "set").select("cls", "n_linked")
     sizes = members.groupBy("cls").agg(F.count(F.lit(1)).alias("n_copies"))
     return (
         members.join(sizes, "cls")
@@ -338,3 +416,14 @@ def shared_share(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> Data
         )
         .withColumn("share", F.col("n_shared") / F.col("n_chars"))
     )
+
+
+def set_pairs(docs: DataFrame, doc: str, text: str, span: int = SPAN, together: int = TOGETHER) -> DataFrame:
+    """(kind, a, b): the links in short. ``member`` rows give each document's (a)
+    representative (b), the smallest document with the same links, a copy's
+    being its class's; ``link`` rows the pairs a < b of representatives that
+    share a span. Documents of one representative that is linked at all share one too."""
+    members, groups, _ = shared_spans(docs, doc, text, span, together)
+    member, pairs = link_sets(groups)
+    own = members.join(member, "cls", "left").select(F.lit("member").alias("kind"), F.col("doc").alias("a"), F.coalesce("set", "cls").alias("b"))
+    return own.unionByName(pairs.where("set_a < set_b").select(F.lit("link").alias("kind"), F.col("set_a").alias("a"), F.col("set_b").alias("b")))

@@ -15,6 +15,16 @@ ORACLE: dict[str, str] = {
     "p10_found": """
         WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, k, 300)) AS h FROM documents, unnest(range(1, length(text) - 298)) AS u(k) WHERE length(text) >= 300)
         SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.h = b.h AND a.doc_id < b.doc_id""",
+    "p10_shared": """
+        WITH t AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 300),
+             m AS (SELECT doc_id, text, n, min(doc_id) OVER (PARTITION BY text) AS class_id, count(*) OVER (PARTITION BY text) AS n_copies FROM t),
+             w AS (SELECT doc_id AS class_id, k, md5(substr(text, k, 300)) AS h FROM m, unnest(range(1, n - 298)) AS u(k) WHERE doc_id = class_id),
+             g AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT class_id) > 1),
+             s AS (SELECT w.* FROM w JOIN g USING (h)),
+             l AS (SELECT a.class_id, count(DISTINCT b.class_id) AS n_linked FROM s a JOIN s b ON a.h = b.h AND a.class_id != b.class_id GROUP BY a.class_id),
+             c AS (SELECT class_id, sum(least(300, coalesce(nxt - k, 300)))::BIGINT AS n_shared FROM (SELECT class_id, k, lead(k) OVER (PARTITION BY class_id ORDER BY k) AS nxt FROM s) GROUP BY class_id)
+        SELECT doc_id, class_id, n_copies, coalesce(n_linked, 0) AS n_linked, n AS n_chars, CASE WHEN n_copies > 1 THEN n ELSE coalesce(n_shared, 0) END AS n_shared,
+               (CASE WHEN n_copies > 1 THEN n ELSE coalesce(n_shared, 0) END) / n::DOUBLE AS share FROM m LEFT JOIN l USING (class_id) LEFT JOIN c USING (class_id)""",
     "p4_found": r"""
         WITH RECURSIVE u AS (
             SELECT disc_id, title, try_strptime(publication_date, '%Y-%m-%d')::DATE AS d, regexp_replace(regexp_replace(trim(url), '^([A-Za-z][A-Za-z0-9+.\-]*:)?//', ''), '#.*$', '') AS r FROM discovered WHERE trim(coalesce(url, '')) != ''),
