@@ -9,11 +9,19 @@ one another never cross a document.
 A search reads the rows of the terms it needs only. Each item of the held-out
 set is covered with anchors: of every ``n`` consecutive words at least the one
 with the fewest postings in the whole corpus, so that every passage of ``n``
-words holds an anchor. The postings of anchors, moved back by the place of the
-anchor in the item, are the candidate alignments; they are intersected with the
-moved lists of the other words, rarest first, and runs of ``n`` hits are exact
-phrase matches. With a slack, alignments a few words apart are merged first,
-which gives matches by proximity.
+words holds an anchor. A segment is entered from its own terms: only items with
+an anchor among them are looked at. The postings of anchors, moved back by the
+place of the anchor in the item, are the candidate alignments; they are
+intersected with the moved lists of the other words, rarest first, and runs of
+``n`` hits are exact phrase matches.
+
+Matches by proximity are chains: words of the item in order, each at most
+``slack`` words of the item and at most ``slack`` words of the document after
+the one before, all in one document. A chain can step over the rarest word, but
+not over ``slack`` + 1 words in a row, so the anchors of each ``n`` consecutive
+words are then the ``slack`` + 1 neighbours with the fewest postings together.
+Around each anchor's posting the longest chains are found from the postings of
+the item's words nearby.
 
 Segments are bounded by tokens, so hot terms, hot sources and very long texts
 need no care: a text longer than a segment is laid over several that overlap by
@@ -128,35 +136,54 @@ def write_index(docs: DataFrame, doc: str, text: str, path: str | None = None, s
     return path
 
 
-def anchors(tokens: list[str], weight: dict[str, int], n: int) -> list[int]:
-    """Places of which every ``n`` consecutive words hold one, rare terms first:
-    the rarest word of each stretch of ``n``."""
-    if len(tokens) < n:
-        return []
-    return sorted({min(range(a, a + n), key=lambda k: (weight.get(tokens[k], 0), tokens[k], k)) for a in range(len(tokens) - n + 1)})
-
-
-def runs(hits: np.ndarray, n: int) -> np.ndarray:
-    """Length of the longest run of True in each row, 0 where it is under n."""
-    best = np.zeros(len(hits), np.int64)
-    run = np.zeros(len(hits), np.int64)
+def anchors(tokens: list[str], weight: dict[str, int], n: int, slack: int = 0) -> list[int]:
+    """Places that no match of ``n`` words can miss: of each stretch of ``n`` the
+    ``slack`` + 1 consecutive words with the fewest postings together."""
+    w = [weight.get(t, 0) for t in tokens]
+    cost = [(sum(w[k : k + slack + 1]), tokens[k], k) for k in range(len(tokens) - slack)]
+    starts = {min(cost[a : a + n - slack])[2] for a in range(len(tokens) - n + 1)}
+    return sorted({k + d for k in starts for d in range(slack + 1)})
+
+
+def longest_chains(hits: list[tuple[int, int, int]], slack: int) -> dict[int, int]:
+    """Of (document, position, place in the item): the length of each document's
+    longest chain, by the lengths of the chains that end at each hit."""
+    best: dict[tuple[int, int], int] = {}
+    top: dict[int, int] = {}
+    steps = range(1, slack + 2)
+    owner = {}
+    for d, p, k in sorted(hits):
+        n = 1 + max((best[q] for x in steps for y in steps if (q := (p - x, k - y)) in best and owner[p - x] == d), default=0)
+        best[(p, k)], owner[p] = n, d
+        top[d] = max(top.get(d, 0), n)
+    return top
+
+
+def runs(hits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Length of the longest run of True in each row, 0 where it is under n, and where it ends."""
+    best, ends, run = (np.zeros(len(hits), np.int64) for _ in range(3))
     for k in range(hits.shape[1]):
         run = np.where(hits[:, k], run + 1, 0)
+        ends = np.where(run > best, k, ends)
         np.maximum(best, run, out=best)
-    return np.where(best >= n, best, 0)
+    return np.where(best >= n, best, 0), ends
 
 
 def search(index: str, items: DataFrame, item: str, text: str, n: int = PASSAGE, slack: int = 0, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, n_words): documents that hold at least ``n``
     consecutive words of an item one after another, with the longest such run.
 
-    With ``slack`` > 0 a match by proximity counts too: ``n`` words of the item
-    in order, with up to ``slack`` words more or fewer in between in the
-    document; n_words is then the number of words met. Items under ``n`` words,
+    With ``slack`` > 0 a match by proximity counts too: at least ``n`` words of
+    the item in order, up to ``slack`` of its words left out and up to ``slack``
+    words of the document put in between one and the next; n_words is then the
+    number of words of the longest such chain. It never leaves a document. ``n``
+    must be more than ``slack``. Items under ``n`` words,
     null or empty ones match nothing. Repeated items and documents give one row
     per pair of ids. All items are searched, block by block; within a block
     the items go to the tasks, which is a bounded number.
     """
+    if not 0 <= slack < n:
+        raise ValueError("0 <= slack < n")
     spark = items.sparkSession
     postings = spark.read.parquet(index)
     rows = items.select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").dropDuplicates()
@@ -179,12 +206,16 @@ def _search_block(spark: SparkSession, postings: DataFrame, items: list[tuple[in
     wanted = F.broadcast(spark.createDataFrame([(w,) for w in ["", *vocabulary]], "term string"))
     own = postings.join(wanted, "term", "left_semi")
     weight = {r["term"]: r["n"] for r in own.where("term != ''").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator()}
-    plan = [(i, t, anchors(t, weight, n)) for i, t in items]
-    sent = spark.sparkContext.broadcast(plan)
+    places = [anchors(t, weight, n, slack) for _, t in items]
+    by_anchor: dict[str, list[int]] = {}
+    for x, (_, t) in enumerate(items):
+        for w in {t[k] for k in places[x]}:
+            by_anchor.setdefault(w, []).append(x)
+    sent = spark.sparkContext.broadcast((items, places, by_anchor, weight))
 
     def match(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        heads = np.frombuffer(pdf.loc[pdf["term"] == "", "at"].iloc[0], np.int64).reshape(2, -1)
-        starts, ids = heads
+        items, places, by_anchor, weight = sent.value
+        starts, ids = np.frombuffer(pdf.loc[pdf["term"] == "", "at"].iloc[0], np.int64).reshape(2, -1)
         packed = dict(zip(pdf["term"], pdf["at"]))
         lists: dict[str, np.ndarray] = {}
         none = np.empty(0, np.int64)
@@ -194,50 +225,58 @@ def _search_block(spark: SparkSession, postings: DataFrame, items: list[tuple[in
                 lists[w] = unpack(packed[w]) if w in packed else none
             return lists[w]
 
-        found: list[tuple[int, int, int]] = []
-        for i, tokens, places in sent.value:
-            lanes = [at(tokens[k]) - k for k in places]
-            base = np.unique(np.concatenate(lanes)) if lanes else none
-            if not len(base):
-                continue
+        def in_doc(p: np.ndarray) -> np.ndarray:
+            return np.searchsorted(starts, p, "right") - 1
+
+        def exact(tokens: list[str], places: list[int]) -> Iterator[tuple[int, int]]:
+            base = np.unique(np.concatenate([at(tokens[k]) - k for k in places]))
             order = sorted(range(len(tokens)), key=lambda k: (weight.get(tokens[k], 0), k))
             hits = np.zeros((len(base), len(tokens)), bool)
-            offsets = range(-slack, slack + 1)
             alive = np.arange(len(base))
             for seen, k in enumerate(order):
                 p = at(tokens[k])
                 if len(p):
-                    for o in offsets:
-                        x = base[alive] + (k + o)
-                        j = np.searchsorted(p, x)
-                        j[j == len(p)] = 0
-                        hits[alive, k] |= p[j] == x
+                    x = base[alive] + k
+                    j = np.searchsorted(p, x)
+                    j[j == len(p)] = 0
+                    hits[alive, k] = p[j] == x
                 # an alignment that misses too many words can't reach n any more
                 left = len(tokens) - seen - 1
                 alive = alive[hits[alive].sum(1) + left >= n] if seen % 8 == 7 else alive
                 if not len(alive):
-                    break
-            if not len(alive):
-                continue
-            best = runs(hits[alive], n) if not slack else np.where(hits[alive].sum(1) >= n, hits[alive].sum(1), 0)
+                    return
+            best, ends = runs(hits[alive], n)
             good = best > 0
-            if not good.any():
-                continue
-            rows, best = alive[good], best[good]
-            middle = base[rows] + hits[rows].argmax(1)
-            if not slack:
-                # a place inside the run names the document
-                for r, b in zip(rows, best):
-                    run = 0
-                    for k in range(len(tokens)):
-                        run = run + 1 if hits[r, k] else 0
-                        if run >= n:
-                            found.append((int(ids[np.searchsorted(starts, base[r] + k, "right") - 1]), i, int(b)))
-                            break
-            else:
-                for m, b in zip(middle, best):
-                    found.append((int(ids[np.searchsorted(starts, m, "right") - 1]), i, int(b)))
-        return pd.DataFrame(found, columns=["doc_id", "item_id", "n_words"]).astype("int64")
+            # the last place of the run names the document
+            yield from zip(in_doc(base[alive[good]] + ends[good]).tolist(), best[good].tolist())
+
+        def near(tokens: list[str], places: list[int]) -> Iterator[tuple[int, int]]:
+            reach = len(tokens) * (slack + 1)
+            seeds = np.unique(np.concatenate([at(tokens[k]) for k in places]))
+            if not len(seeds):
+                return
+            # stretches around the anchors' postings, those that meet as one
+            cut = np.flatnonzero(np.diff(seeds) > 2 * reach) + 1
+            lo, hi = seeds[np.insert(cut, 0, 0)] - reach, seeds[np.append(cut, len(seeds)) - 1] + reach
+            where: dict[str, list[int]] = {}
+            for k, t in enumerate(tokens):
+                where.setdefault(t, []).append(k)
+            found = []
+            for t, ks in where.items():
+                p = at(t)
+                if len(p):
+                    x = np.searchsorted(lo, p, "right") - 1
+                    p = p[(x >= 0) & (p <= hi[x])]
+                    found += [(x, k) for x in p.tolist() for k in ks]
+            if found:
+                docs = in_doc(np.array([x for x, _ in found], np.int64)).tolist()
+                yield from ((d, m) for d, m in longest_chains([(d, x, k) for d, (x, k) in zip(docs, found)], slack).items() if m >= n)
+
+        out: list[tuple[int, int, int]] = []
+        for x in sorted({x for t in packed if t in by_anchor for x in by_anchor[t]}):
+            i, tokens = items[x]
+            out += [(int(ids[d]), i, m) for d, m in (near if slack else exact)(tokens, places[x])]
+        return pd.DataFrame(out, columns=["doc_id", "item_id", "n_words"]).astype("int64")
 
     return own.select("segment", "term", "at").groupBy("segment").applyInPandas(match, schema)
 

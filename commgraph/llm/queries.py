@@ -21,6 +21,11 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_oversized(table(spark, sf_dir, "extract_context"), "id", "content")
 
 
+def p2_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts put together again from their pieces, and whether every piece keeps to limit and overlap."""
+    return split.put_together(table(spark, sf_dir, "extract_context").select("id", "content").distinct(), "id", "content")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "discovered")
     return batches.first_of_article(t, "disc_id", "batch_no", "url", "title", "publication_date").select(F.col("first").alias("first_disc_id"), F.col("record").alias("disc_id"))
@@ -36,6 +41,11 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.max("n_words").alias("most_words"))
 
 
+def p8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches by proximity: a word left out, put in or changed between one and the next counts still."""
+    return leakage.leaked(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text", slack=1)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = mixing.token_table(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
     return mixing.short_in_mix(mixing.mix_report(tokens, table(spark, sf_dir, "mix_targets"))).select("source")
@@ -64,7 +74,7 @@ def p10_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.set_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_pieces, p4_found, p8_found, p8_report, p9_found, p9_mix, p9_shares, p10_found, p10_shared, p10_representatives)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_pieces, p2_whole, p4_found, p8_found, p8_report, p8_near, p9_found, p9_mix, p9_shares, p10_found, p10_shared, p10_representatives)}
 
 
 def _turns(spark: SparkSession, sf_dir: str, speech: bool) -> DataFrame:

@@ -3,7 +3,9 @@
 A text over the limit is taken apart along a hierarchy of separators: sections
 (two or more blank lines), paragraphs (a blank line), lines, sentences, words
 and, only for a stretch of more than the limit without any white space, single
-characters. The pieces are packed greedily up to the limit; each next piece
+characters. The recursion is over the levels: as many whole sections as fit are
+packed into a piece; only where not even one more ends within the limit is the
+next one taken apart into paragraphs, and so on down. Each next piece
 begins with the last ``overlap`` characters of the one before, so that piece
 k+1 without its overlap continues exactly where piece k ends and the whole text
 can be put together again. The overlap shrinks only where the next unbroken
@@ -35,27 +37,19 @@ SEPARATORS = (
     ("sentence", re.compile(r"[.!?…。！？]+[\"'”’»)\]]*[ \t\r\n]+")),
     ("word", re.compile(r"[ \t\r\n]+")),
 )
-SPACES = " \t\r\n"
 STRETCH = re.compile(r"[^ \t\r\n]+")
 
 
-def boundary(text: str, low: int, high: int) -> tuple[int, str]:
-    """The best cut in (low, high]: the last end of the largest unit there, but
-    not in the first half of what could be packed unless nothing else serves.
-    ``forced`` at ``high`` where no white space stands in the whole reach."""
-    half = low + (high - low) // 2
-    for name, pattern in SEPARATORS:
-        last = None
-        for m in pattern.finditer(text, max(0, half - 1), high):
-            if half < m.end() <= high:
-                last = m.end()
-        if last is not None:
-            return last, name
-    # only the first half holds white space: its last end
-    for k in range(min(half, high), low, -1):
-        if text[k - 1] in SPACES:
-            return k, "word"
-    return high, "forced"
+def packed(text: str, low: int, high: int, level: int = 0) -> tuple[int, str]:
+    """Where a piece that may end in (low, high] ends, and at what kind of unit:
+    after the last unit of this level that fits, else, where the next one is too
+    large, after the last part of it that fits one level down. ``forced`` at
+    ``high`` where no white space stands in the whole reach."""
+    if level == len(SEPARATORS):
+        return high, "forced"
+    name, pattern = SEPARATORS[level]
+    last = max((m.end() for m in pattern.finditer(text, low, high)), default=low)
+    return (last, name) if last > low else packed(text, low, high, level + 1)
 
 
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> Iterator[tuple[int, int, int, str]]:
@@ -79,7 +73,10 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> Iterator[tu
         if n - start <= limit:
             yield start, n, keep, "end"
             return
-        end, kind = boundary(text, done, start + limit)
+        high = start + limit
+        if high - 1 > done and text[high - 1 : high + 1] == "\r\n":
+            high -= 1  # one line end, not to be torn
+        end, kind = packed(text, done, high)
         if kind == "forced" and (m := STRETCH.match(text, done)) and m.end() - done <= limit:
             # a stretch that just fits: it ends where white space begins
             end, kind = m.end(), "word"
@@ -136,3 +133,23 @@ def cut_kinds(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: i
         .agg(F.max(F.when(F.col("cut") == "forced", 1).otherwise(0)).alias("f"))
         .select(key, F.when(F.col("f") == 1, "forced").otherwise("boundary").alias("cut"))
     )
+
+
+def put_together(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """(key, n_chars, <text>_md5, fits, laps): each text as its pieces make it again,
+    overlaps left out, whether all pieces keep to the limit, and whether each
+    begins with no more than ``overlap`` characters of the one before. ``df`` has
+    one row per text; two texts of one key are told apart by their digest."""
+    named = df.select(F.struct(F.col(key).alias("k"), F.md5(F.col(text).cast("binary")).alias("d")).alias("k"), F.col(text).alias("t"))
+    part = F.struct("piece_no", F.expr("substring(piece, overlap + 1)").alias("own"))
+    return (
+        split_oversized(named, "k", "t", limit, overlap)
+        .groupBy("k")
+        .agg(
+            F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda p: p["own"]), "").alias("t"),
+            F.bool_and(F.coalesce(F.length("piece"), F.lit(0)) <= limit).alias("fits"),
+            F.bool_and(F.col("overlap").between(0, overlap)).alias("laps"),
+            F.max("piece").isNull().alias("none"),
+        )
+        .select(F.col("k.k").alias(key), F.when(F.col("none"), 0).otherwise(F.length("t")).cast("long").alias("n_chars"), F.when(~F.col("none"), F.md5(F.col("t").cast("binary"))).alias(f"{text}_md5"), "fits", "laps")
+    )

@@ -12,6 +12,17 @@ ORACLE: dict[str, str] = {
              dg AS (SELECT doc_id, list_slice(w, k, k + 12) AS g FROM d, unnest(range(1, len(w) - 11)) AS u(k) WHERE len(w) >= 13),
              ig AS (SELECT DISTINCT item_id, list_slice(w, k, k + 12) AS g FROM i, unnest(range(1, len(w) - 11)) AS u(k) WHERE len(w) >= 13)
         SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+    "p8_report": r"""
+        WITH d AS (SELECT DISTINCT doc_id, text FROM documents), dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM d),
+             i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+             dg AS (SELECT doc_id, k, list_slice(w, k, k + 12) AS g FROM dw, unnest(range(1, len(w) - 11)) AS u(k) WHERE len(w) >= 13),
+             ig AS (SELECT item_id, k, list_slice(w, k, k + 12) AS g FROM i, unnest(range(1, len(w) - 11)) AS u(k) WHERE len(w) >= 13),
+             m AS (SELECT DISTINCT doc_id, item_id, dg.k - ig.k AS diag, ig.k AS k FROM dg JOIN ig USING (g)),
+             r AS (SELECT doc_id, item_id, diag, k - row_number() OVER (PARTITION BY doc_id, item_id, diag ORDER BY k) AS island FROM m),
+             n AS (SELECT doc_id, item_id, count(*) + 12 AS run FROM r GROUP BY doc_id, item_id, diag, island)
+        SELECT item_id, count(DISTINCT doc_id) AS n_docs, max(run) AS most_words FROM n GROUP BY item_id""",
+    "p2_whole": """
+        SELECT id, coalesce(length(content), 0)::BIGINT AS n_chars, md5(content) AS content_md5, true AS fits, true AS laps FROM (SELECT DISTINCT id, content FROM extract_context)""",
     "p10_found": """
         WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, k, 300)) AS h FROM documents, unnest(range(1, length(text) - 298)) AS u(k) WHERE length(text) >= 300)
         SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.h = b.h AND a.doc_id < b.doc_id""",

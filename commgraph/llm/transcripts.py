@@ -43,11 +43,13 @@ ROLES = frozenset(
 TITLES = frozenset("gov sen rep prof dr amb chair mr mrs ms miss sir dame lord lady governor senator representative professor doctor ambassador minister president secretary judge justice mayor chairman chairwoman chairperson congressman congresswoman hon rev gen col capt lt pres sec".split())
 SOUNDS = re.compile(r"\b(?:applause|laughter|laughs?|laughing|cheers?|cheering|crosstalk|cross talk|inaudible|unintelligible|indiscernible|music|coughs?|coughing|bell|no audio|silence|pause|audio|video|booing|sighs?|gavel|noise)\b", re.I)
 FILLERS = r"uh-huh|mm-hmm|you know|i mean|sort of|kind of|uh+|um+|erm*|hmm+|mhm|ah|like(?=,)"
-CLEAN = re.compile(rf"\b(?:(?:{FILLERS})\b,?[ \t]*|([\w'’-]+(?: [\w'’-]+){{0,2}}) -- (?=\1\b))", re.I)
+#: Fillers begin with few letters; looking at those first is what makes the search fast.
+FILLER = re.compile(rf"\b(?=[aehiklmsuy])(?:{FILLERS})\b,?[ \t]*", re.I)
+STAMMER = re.compile(r"\b([\w'’-]+(?: [\w'’-]+){0,2}) -- (?=\1\b)", re.I)
 
 TIME = r"(?:\d{1,2}:)?\d{1,3}:\d{2}(?:[.,]\d{1,3})?"
 ANY_TIME = rf"(?:\[{TIME}\]|\({TIME}\)|{TIME})"
-NAME = r"[^\W\d_][\w.'’\-]*(?:,? [^\W\d_][\w.'’\-]*){0,4}(?: \([^()\n]{1,14}\))?"
+NAME = r"[^\W\d_][\w.'’\-]*(?:,? [^\W\d_][\w.'’\-]*){0,4}(?: \([^()\n]+\))?"
 
 # --- grammar -----------------------------------------------------------------
 time = rule("time", term(ANY_TIME))
@@ -75,9 +77,9 @@ def bracket(a: str, b: str) -> object:
 NOTES = (
     bracket("(", ")"),
     bracket("[", "]"),
-    rule("note", term(r"<<?[^<>\n]{1,60}>>?")),
-    rule("note", term(r"♪[^♪\n]{0,80}♪")),
-    rule("note", term(r"\*[^*\n]{1,40}\*")),
+    rule("note", term(r"<<?[^<>\s](?:[^<>\n]*[^<>\s])?>>?")),
+    rule("note", term(r"♪[^♪\n]*♪")),
+    rule("note", term(r"\*[^*\s](?:[^*\n]*[^*\s])?\*")),
 )
 speech = rule("speech", term(r"[^\[\](){}<>♪*\n\r]+|[^\n\r]"))
 newline = rule("newline", term(r"[ \t]*(?:\r\n|\n|\r)[ \t]*"))
@@ -105,6 +107,14 @@ def role_of(label: str) -> str | None:
     return s if s in ROLES else None
 
 
+def clean(said: str) -> str:
+    """Speech without fillers and stammered repetitions, its white space single."""
+    said = FILLER.sub("", said)
+    if " -- " in said:
+        said = STAMMER.sub("", said)
+    return " ".join(said.split())
+
+
 def segments(text: str) -> list[tuple[str | None, float | None, str]]:
     """(label, seconds, speech) of each stretch after a label; what comes before
     the first has none. Notes, times, fillers and stammers are left out."""
@@ -124,7 +134,7 @@ def segments(text: str) -> list[tuple[str | None, float | None, str]]:
         elif kind == "note":
             out[-1][2].append(" ")
     said = ["".join(s) for _, _, s in out]
-    return [(n, t, " ".join(CLEAN.sub("", w).split())) for (n, t, _), w in zip(out, said)]
+    return [(n, t, clean(w)) for (n, t, _), w in zip(out, said)]
 
 
 def label_forms(label: str) -> tuple[str | None, str | None, str] | None:
@@ -167,8 +177,8 @@ def near(a: str, b: str) -> int:
 def parsed(rows: DataFrame, rec: Column, text: str, hint: Column | None = None, speech: bool = True) -> DataFrame:
     """(rec, ver, seg, secs, label, role, hint, size, said) for each labelled
     segment of each text; ``ver`` is a digest of the text, which tells two texts
-    of one record apart and repeats of one text not. ``said`` is left null
-    without ``speech``, and texts are not shuffled then."""
+    of one record apart and repeats of one text not. All speech is cleaned, and
+    ``size`` is its length then; ``said`` is left null without ``speech``."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -232,9 +242,8 @@ def person_candidates(labels: DataFrame, registry: DataFrame, display: str) -> D
 
 
 def spoken(parts: DataFrame, registry: DataFrame, display: str = "display_name") -> DataFrame:
-    """(rec, ver, seg, secs, speaker, label, size, said): segments whose label is
+    """(rec, ver, seg, secs, speaker, label, size): segments whose label is
     settled, in their place; the others have a null speaker."""
-    parts = cut(parts, "segments")
     people = parts.where("role IS NULL").groupBy("rec", "label").agg(F.max("hint").alias("hint"))
     known = cut(person_candidates(people, registry, display), "labels")
     could = people.join(known, "label")
@@ -244,7 +253,7 @@ def spoken(parts: DataFrame, registry: DataFrame, display: str = "display_name")
     # the cheapest meaning, if it is the only one of its rank
     best = could.groupBy("rec", "label").agg(F.min(F.struct("rank", "person")).alias("lo"), F.collect_list(F.struct("rank", "person")).alias("all"))
     best = best.where(F.size(F.filter("all", lambda x: x["rank"] == F.col("lo.rank"))) == 1).select("rec", "label", F.col("lo.person").alias("person"))
-    return parts.join(best, ["rec", "label"], "left").select("rec", "ver", "seg", "secs", F.coalesce("role", "person").alias("speaker"), "label", "size", "said")
+    return parts.join(best, ["rec", "label"], "left").select("rec", "ver", "seg", "secs", F.coalesce("role", "person").alias("speaker"), "label", "size")
 
 
 def turns(rows: DataFrame, rec: Column, text: str, registry: DataFrame, hint: Column | None = None, display: str = "display_name", speech: bool = True) -> DataFrame:
@@ -252,24 +261,29 @@ def turns(rows: DataFrame, rec: Column, text: str, registry: DataFrame, hint: Co
 
     Null, empty and unlabelled texts have none. Texts are taken once however
     often their row repeats. A label without speech makes no turn. Without
-    ``speech`` the words said are left out, and never shuffled.
+    ``speech`` the words said are cleaned all the same and left out of the result.
     """
-    s = spoken(parsed(rows, rec, text, hint, speech), registry, display).dropDuplicates(["rec", "ver", "seg"])
+    parts = cut(parsed(rows, rec, text, hint, speech), "segments")
+    s = spoken(parts.drop("said"), registry, display).dropDuplicates(["rec", "ver", "seg"])
     doc = ["rec", "ver"]
     by = Window.partitionBy(*doc).orderBy("seg")
     # speech after a label that is none goes on with the segment before
     s = s.withColumn("at", F.sum(F.when(F.col("speaker").isNotNull(), 1).otherwise(0)).over(by)).where("at > 0")
     own = F.col("speaker").isNotNull()
-    words = []
-    if speech:
-        s = s.withColumn("part", F.when(own, F.col("said")).otherwise(F.concat_ws(" ", F.concat("label", F.lit(":")), "said")))
-        words = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "part"))), lambda x: x["part"]), " ").alias("said")]
-    s = s.groupBy(*doc, "at").agg(F.max("speaker").alias("speaker"), F.max(F.when(own, F.col("secs"))).alias("secs"), F.sum(F.when(own, F.col("size")).otherwise(F.col("size") + 1)).alias("size"), *words).where("size > 0")
-    s = s.withColumn("timed", F.min(F.when(F.col("secs").isNotNull(), 1).otherwise(0)).over(Window.partitionBy(*doc))).withColumn("order", F.when(F.col("timed") == 1, F.col("secs")).otherwise(F.lit(0.0)))
+    runs = s.groupBy(*doc, "at").agg(F.max("speaker").alias("speaker"), F.max(F.when(own, F.col("secs"))).alias("secs"), F.sum(F.when(own, F.col("size")).otherwise(F.col("size") + 1)).alias("size")).where("size > 0")
+    runs = runs.withColumn("timed", F.min(F.when(F.col("secs").isNotNull(), 1).otherwise(0)).over(Window.partitionBy(*doc))).withColumn("order", F.when(F.col("timed") == 1, F.col("secs")).otherwise(F.lit(0.0)))
     inorder = Window.partitionBy(*doc).orderBy("order", "at")
-    s = s.withColumn("starts", F.when(F.lag("speaker").over(inorder).eqNullSafe(F.col("speaker")), 0).otherwise(1))
+    runs = runs.withColumn("starts", F.when(F.lag("speaker").over(inorder).eqNullSafe(F.col("speaker")), 0).otherwise(1))
     if not speech:
-        s = s.where("starts = 1")
-        return s.select("rec", F.row_number().over(inorder).cast("int").alias("turn_no"), "speaker", F.lit(None).cast("string").alias("said"))
-    s = s.withColumn("turn_no", F.sum("starts").over(inorder).cast("int"))
-    return s.groupBy(*doc, "turn_no").agg(F.max("speaker").alias("speaker"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", "at", "said"))), lambda x: x["said"]), " ").alias("said")).drop("ver")
+        runs = runs.where("starts = 1")
+        return runs.select("rec", F.row_number().over(inorder).cast("int").alias("turn_no"), "speaker", F.lit(None).cast("string").alias("said"))
+    # which segment goes where is settled without the words; then each text's words are sent once, to its places
+    runs = runs.withColumn("turn_no", F.sum("starts").over(inorder).cast("int")).select(*doc, "at", "speaker", "turn_no", F.row_number().over(inorder).alias("nth"))
+    places = s.select(*doc, "at", "seg", F.when(own, F.lit(None)).otherwise(F.col("label")).alias("before")).join(runs, [*doc, "at"])
+    none = {"said": "string", "turn_no": "int", "nth": "int", "speaker": "string", "before": "string"}
+    columns = [*doc, "seg", *none]
+    both = parts.select(*doc, "seg", "said", *[F.lit(None).cast(t).alias(c) for c, t in none.items() if c != "said"]).unionByName(places.withColumn("said", F.lit(None).cast("string")).select(columns))
+    each = both.repartition(*doc).groupBy(*doc, "seg").agg(*[F.max(c).alias(c) for c in none]).where("turn_no IS NOT NULL")
+    part = F.concat_ws(" ", F.concat("before", F.lit(":")), "said")
+    words = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", "seg", part.alias("part")))), lambda x: x["part"]), " ")
+    return each.groupBy(*doc, "turn_no").agg(F.max("speaker").alias("speaker"), words.alias("said")).select("rec", "turn_no", "speaker", "said")

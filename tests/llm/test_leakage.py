@@ -35,13 +35,50 @@ def test_against_brute_force_with_segments_and_long_texts(spark, tmp_path):
     assert L.leaked(a, "doc_id", "text", b.limit(0), "item_id", "text").collect() == []
 
 
-def test_proximity(spark):
-    item = " ".join(f"k{i}" for i in range(15))
-    near = item.replace("k7", "k7 very")
-    docs = spark.createDataFrame([(1, near), (2, item), (3, "k1 k2 k3")], "doc_id long, text string")
-    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+def chains(docs, items, n, slack):
+    """By trying every chain of hits."""
+    out = {}
+    for d, t in docs:
+        w = L.words(t)
+        for i, s in items:
+            v = L.words(s)
+            best = {}
+            for p in range(len(w)):
+                for k in range(len(v)):
+                    if w[p] == v[k]:
+                        best[p, k] = 1 + max((best.get((p - x, k - y), 0) for x in range(1, slack + 2) for y in range(1, slack + 2)), default=0)
+            m = max(best.values(), default=0)
+            if m >= n:
+                out[d, i] = max(m, out.get((d, i), 0))
+    return out
+
+
+def test_proximity_against_brute_force(spark, tmp_path):
+    rnd = random.Random(11)
+    vocab = ["the", "a", "of"] * 2 + [f"w{k}" for k in range(20)]
+    items = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.choice([3, 9, 16])))) for i in range(25)]
+    docs = []
+    for d in range(60):
+        w = []
+        for _ in range(rnd.randint(0, 3)):
+            for x in L.words(rnd.choice(items)[1]):
+                w += [] if rnd.random() < 0.1 else [x, rnd.choice(vocab)] if rnd.random() < 0.1 else [rnd.choice(vocab)] if rnd.random() < 0.1 else [x]
+            w += [rnd.choice(vocab) for _ in range(rnd.randint(0, 9))]
+        docs.append((d, " ".join(w)))
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for n, slack, segment, lap in ((6, 1, 1_000_000, 20_000), (6, 2, 150, 60), (8, 0, 1_000_000, 20_000)):
+        p = L.write_index(a, "doc_id", "text", str(tmp_path / f"{n}-{slack}"), segment, lap)
+        got = {(r["doc_id"], r["item_id"]): r["n_words"] for r in L.search(p, b, "item_id", "text", n, slack, block=9).collect()}
+        assert got == chains(docs, items, n, slack) and got
+
+
+def test_proximity_keeps_order_and_ends_of_documents(spark):
+    item = [f"k{i}" for i in range(14)]
+    swapped = [x for k in range(0, 14, 2) for x in (item[k + 1], item[k])]
+    docs = spark.createDataFrame([(1, " ".join(item[:7])), (2, " ".join(item[7:])), (3, " ".join(swapped)), (4, " ".join(item[:6] + ["very"] + item[6:]))], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
     hit = lambda s: {r["doc_id"] for r in L.leaked(docs, "doc_id", "text", items, "item_id", "text", slack=s).collect()}
-    assert hit(0) == {2} and hit(1) == {1, 2}
+    assert hit(0) == set() and hit(1) == {4} and hit(2) == {4}
 
 
 def test_pack():

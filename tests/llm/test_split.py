@@ -33,6 +33,26 @@ def test_prefers_paragraphs_and_overlaps():
     assert all(p[3] == "paragraph" for p in ps[:-1]) and all(p[2] == 200 for p in ps[1:])
 
 
+def test_levels_are_taken_apart_from_the_largest_down():
+    # a paragraph's end is used wherever it stands, also early in a piece
+    early = "First para. " + "x" * 1400 + "\n\n" + "words go on " * 400
+    assert list(pieces(early))[0][1:] == (1414, 0, "paragraph")
+    # whole sections are packed together as long as they fit
+    section = "A line.\n\nAnother one.\n\n\n"
+    ps = list(pieces(section * 400))
+    assert {p[3] for p in ps[:-1]} == {"section"} and all(p[1] - p[0] > LIMIT - len(section) for p in ps[:-1])
+    # sentences of an oversized line, words of an oversized sentence
+    assert list(pieces("One two. " * 1000))[0][3] == "sentence" and list(pieces("one two " * 1000))[0][3] == "word"
+
+
+def test_a_line_end_of_two_characters_is_not_torn():
+    for n in range(LIMIT - 3, LIMIT + 3):
+        for glue in ("", " x"):
+            text = "y" * n + "\r\n" + glue + "z " * 3000
+            for a, b, *_ in pieces(text):
+                assert text[b - 1 : b + 1] != "\r\n", n
+
+
 def test_frame(spark):
     rows = [("a", None, 1), ("b", "", 2), ("c", "x" * LIMIT, 3), ("d", "x" * (LIMIT + 1), 4), ("d", "x" * (LIMIT + 1), 4), ("e", "word " * 3000, 5)]
     df = spark.createDataFrame(rows, "id string, content string, piece int")

@@ -47,3 +47,18 @@ def test_long_segments_of_fillers_make_no_turn(spark):
     df = spark.createDataFrame(rows, "rec string, full_text string")
     got = [sorted((r["rec"], r["turn_no"], r["speaker"]) for r in T.turns(df, F.col("rec"), "full_text", people, speech=s).collect()) for s in (False, True)]
     assert got[0] == got[1] == [("a", 1, "Carl Dunmore"), ("a", 2, "Frank Grixberg"), ("b", 1, "Frank Grixberg")]
+
+
+def test_notes_fillers_and_remarks_of_any_length(spark):
+    people = spark.createDataFrame([(*p, 1) for p in PEOPLE], "display_name string, rec int")
+    rows = []
+    for n in (1, 59, 60, 61, 79, 80, 81, 500):
+        note = "x" * n
+        assert T.segments(f"Host: a <{note}> b ♪{note}♪ c *{note}* d ({note}) e")[1][2] == "a b c d e"
+        assert T.segments(f"Carl Dunmore ({note}): hi")[1][0] == f"Carl Dunmore ({note})"
+        fill = ("um " * n)[:n].strip() if n > 2 else "um"
+        rows.append((f"r{n}", f"Carl Dunmore: one\nHost: {fill if fill[-1] == 'm' else fill + 'm'}\nFrank Grixberg: two"))
+    df = spark.createDataFrame(rows, "rec string, full_text string")
+    got = [sorted((r["rec"], r["turn_no"], r["speaker"]) for r in T.turns(df, F.col("rec"), "full_text", people, speech=s).collect()) for s in (False, True)]
+    assert got[0] == got[1] == sorted((r, k, n) for r, _ in rows for k, n in ((1, "Carl Dunmore"), (2, "Frank Grixberg")))
+    assert T.segments("Host: 3 * 4 and 5 * 6 < 7, 8 > 2")[1][2] == "3 * 4 and 5 * 6 < 7, 8 > 2"
