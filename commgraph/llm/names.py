@@ -6,12 +6,15 @@ abbreviated words, leading articles, initials, acronyms, surnames alone, dropped
 legal forms, and any one letter missing, added, changed or swapped. Strings with
 the same full canonical form are one group. The weaker forms of a group (what
 is left after a lossy rewriting) are exploded into keys and joined with the keys
-of full groups; the rarest rewriting wins: a form that only one entity can be
-rewritten to links, one that several share says nothing and links none.
+of full groups. A match is scored by the rarity of its rewriting, in bits: minus
+the binary logarithm of the number of entities that can be rewritten to the
+same key, less what a slip of one letter costs. The best entity is linked if it
+is better than any other; a form that several share equally links none.
 
 Groups that are one letter apart are linked only if one of them looks like the
 slip, that is if it comes in one spelling only; two names that each come in
-several renderings are two names.
+several renderings are two names. Slips of slips follow to the end of the chain:
+entities are connected components, whatever their length.
 """
 
 from __future__ import annotations
@@ -27,8 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commgraph.llm.frames import frame
+from commgraph.operators.components import connected_components
 from commgraph.runtime import cut
 
+#: Bits that a slip of one letter costs: a name has about this many neighbours one letter away, as a power of two.
+SLIP_BITS = 9.0
+
 # --- fixed values ---------------------------------------------------------------------------
 TITLES = frozenset("gov sen rep prof dr amb chair mr mrs ms miss sir dame lord lady governor senator representative professor doctor ambassador minister president secretary judge justice mayor hon rev gen col capt lt".split())
 #: Short forms of given names, each with the full names it may stand for.
@@ -167,9 +174,19 @@ def ordered_tokens(name: str) -> tuple[str, ...]:
     return tuple(w for w in (WORDS.get(w, w) for w in words) if w and w not in STOP and w not in ADDED)
 
 
+def rooted_by(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """``groups`` with ``root``: the best known base, by spellings, then by count, of
+    all that ``edges`` (base, to) connect; without an edge a base is its own."""
+    parts = cut(connected_components(edges, "base", "to").withColumnRenamed("node", "base").withColumnRenamed("root", "part"), "parts")
+    best = F.max(F.struct((F.col("kind") == "F").alias("f"), "spellings", "n", "base")).alias("best")
+    tops = groups.join(parts, "base").groupBy("part").agg(best).select("part", F.col("best.base").alias("root"))
+    return groups.drop("root").join(parts.join(tops, "part").select("base", "root"), "base", "left").withColumn("root", F.coalesce("root", "base"))
+
+
 def link_names(names: DataFrame, name: str) -> DataFrame:
     """(name, entity, n): each distinct string with the group it names; ``entity``
-    is the canonical form of the group's most frequent full form.
+    is the canonical form of the group's most frequent full form. Strings of
+    marks only, which no rule can read, name themselves.
 
     Nulls and blank strings are left out. Strings count as often as they stand;
     an empty table gives no rows. Extra columns don't matter.
@@ -181,8 +198,8 @@ def link_names(names: DataFrame, name: str) -> DataFrame:
             out = []
             for x, n in zip(b["name"], b["n"]):
                 p = parse(x)
-                if p:
-                    out.append((x, n, p[0], p[0] + "|" + "|".join(p[1]), " ".join(ordered_tokens(x))))
+                kind, tokens = p or ("X", (x,))
+                out.append((x, n, kind, kind + "|" + "|".join(tokens), " ".join(ordered_tokens(x))))
             c = list(zip(*out)) if out else [[]] * 5
             yield frame(name=list(c[0]), n=np.array(c[1], np.int64), kind=list(c[2]), base=list(c[3]), words=list(c[4]))
 
@@ -210,9 +227,7 @@ def link_names(names: DataFrame, name: str) -> DataFrame:
     close = close.select(F.col("x.base").alias("base"), F.col("y.base").alias("to"), F.col("x.token").alias("p"), F.col("y.token").alias("q"), F.col("y.spellings").alias("s"), F.col("y.n").alias("m")).distinct().where(apart("p", "q"))
     top = Window.partitionBy("base").orderBy(F.desc("s"), F.desc("m"), "to")
     step = cut(close.withColumn("k", F.row_number().over(top)).where("k = 1").select("base", "to"), "slips")
-    up = step.select(F.col("base").alias("to"), F.col("to").alias("then"))
-    parents = step.join(up, "to", "left").select("base", F.coalesce("then", "to").alias("root"))
-    rooted = cut(groups.join(parents, "base", "left").withColumn("root", F.coalesce("root", "base")), "rooted")
+    rooted = cut(rooted_by(groups, step), "rooted")
 
     # weaker forms: joined with what the full forms can be rewritten to
     def offers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,6 +241,8 @@ def link_names(names: DataFrame, name: str) -> DataFrame:
             out = []
             for base, kind, w in zip(b["base"], b["kind"], b["words"]):
                 t = base.split("|")[1:]
+                if kind == "X":
+                    continue
                 if kind == "A":
                     out.append((f"A|{t[0]}", 0, base))
                 elif kind == "S":
@@ -237,19 +254,19 @@ def link_names(names: DataFrame, name: str) -> DataFrame:
             c = list(zip(*out)) if out else [[]] * 3
             yield frame(key=list(c[0]), own=np.array(c[1], np.int32), base=list(c[2]))
 
-    given = rooted.where("kind = 'F'").select("base", "root", "words").mapInPandas(offers, "key string, cost int, root string, of string").distinct()
+    given = cut(rooted.where("kind = 'F'").select("base", "root", "words").mapInPandas(offers, "key string, cost int, root string, of string").distinct(), "offers")
+    shared = given.groupBy("key").agg(F.countDistinct("root").alias("sharing"))
     wanted = rooted.where("base = root").select("base", "kind", "words").mapInPandas(asks, "key string, own int, base string")
-    met = wanted.join(given, "key").where("root != base").withColumn("price", F.greatest("own", "cost"))
-    # equal prices of 1 still have to be one slip apart, not two
+    met = wanted.join(given, "key").where("root != base").withColumn("slip", F.greatest("own", "cost"))
+    # a slip on both sides still has to be one slip apart, not two
     last = F.element_at(F.split("base", r"\|"), -1)
     toks = F.array_remove(F.split("of", r"\|"), "F")
-    slip = F.pandas_udf(lambda w, ts: pd.Series([any(near(p, t) for t in tt) for p, tt in zip(w, ts)], dtype="bool"), "boolean")
-    met = met.where((F.col("price") == 0) | slip(last, toks))
-    cheap = Window.partitionBy("base")
-    weak = met.withColumn("least", F.min("price").over(cheap)).where("price = least").groupBy("base").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a = b").select("base", F.col("a").alias("linked"))
-    final = rooted.join(weak, "base", "left")
-    up2 = final.where("linked IS NOT NULL").select(F.col("base").alias("root"), F.col("linked").alias("next"))
-    entity = final.withColumn("root", F.coalesce("linked", "root")).join(up2, "root", "left").select("base", F.coalesce("next", "root").alias("entity"))
+    close = F.pandas_udf(lambda w, ts: pd.Series([any(near(p, t) for t in tt) for p, tt in zip(w, ts)], dtype="bool"), "boolean")
+    met = met.where((F.col("slip") == 0) | close(last, toks)).join(shared, "key")
+    scored = met.groupBy("base", "root").agg(F.max(-F.log2(F.col("sharing")) - F.lit(SLIP_BITS) * F.col("slip")).alias("score"))
+    best = scored.groupBy("base").agg(F.max("score").alias("score"))
+    weak = scored.join(best, ["base", "score"]).groupBy("base").agg(F.min("root").alias("to"), F.max("root").alias("other")).where("to = other").select("base", "to")
+    entity = rooted_by(rooted, cut(rooted.where("base != root").select("base", F.col("root").alias("to")).unionByName(weak), "links")).select("base", F.col("root").alias("entity"))
     return read_names.join(entity, "base").select("name", "entity", "n")
 
 

@@ -25,3 +25,17 @@ def test_two_spelt_names_one_letter_apart_stay_apart(spark):
     rows = ["Ann Marl", "ANN MARL", "Ann Marls", "ANN MARLS"]
     df = spark.createDataFrame([(r,) for r in rows], "name string")
     assert N.variant_pairs(df, "name").count() == 2
+
+
+def test_slips_of_slips_end_in_one_entity(spark):
+    rows = ["Ann Venstrom"] * 4 + ["Ann Venstrop"] * 3 + ["Ann Venstzop"] * 2 + ["Ann Vqnstzop"] + ["???", "!", None]
+    out = {r["name"]: r["entity"] for r in N.link_names(spark.createDataFrame([(r,) for r in rows], "name string"), "name").collect()}
+    assert len({out[n] for n in out if n.startswith("Ann")}) == 1 and out["Ann Vqnstzop"] == "F|ann|venstrom"
+    assert len(out) == 6 and out["???"] != out["!"]
+
+
+def test_the_rarer_rewriting_wins(spark):
+    # "Kolvale Rural" may stand for either body, "TIOM" only for one of those with other initials
+    rows = ["Kolvale Rural Council", "Kolvale Rural Corporation", "Kolvale Rural", "Tosia Institute for Open Markets", "Tosia Agency for Open Markets", "TIOM"]
+    out = {r["name"]: r["entity"] for r in N.link_names(spark.createDataFrame([(r,) for r in rows], "name string"), "name").collect()}
+    assert out["TIOM"] == out["Tosia Institute for Open Markets"] and len({out[n] for n in rows[:3]}) == 3
