@@ -3,9 +3,10 @@
 Words score for content and what stands for tags in plain text (menus,
 separators, link marks, lines without an end) scores against it. The weights are
 log odds of words, word pairs and line shapes, counted over labelled pages: a
-bounded sample of the pages at hand, whose lines are labelled by a short list of
-known furniture (fixed values below), by the blocks such lines open, and by
-sentences, together with the list itself. A line's score is the sum of its
+bounded sample of the pages at hand, whose lines are labelled by repetition and
+place. Sentences that one page alone has are its running text; lines that
+several pages have and that stand around running text are furniture. No line
+is known beforehand. A line's score is the sum of its
 weights, the page's main region the stretch of lines with the greatest sum,
 found by one linear scan; lines inside it that score clearly against content are
 interruptions and not body either. A headline, where the page has one known
@@ -17,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,137 +29,28 @@ from commgraph.llm.frames import frame, hash_sample
 
 #: Pages the weights are fitted on at most.
 SAMPLE = 1200
-#: Bounds of one weight, of a line, and what an interruption scores at most.
-CLIP, LINE_CLIP, LINE_FLOOR, INTERRUPTION = 2.5, 12.0, -3.0, -1.0
-#: Least score of a time, a sound or a stock phrase of an event.
+#: Bounds of one weight, of a whole line's, of a line's score, and what an interruption scores at most.
+CLIP, WHOLE_CLIP, LINE_CLIP, LINE_FLOOR, INTERRUPTION = 2.5, 8.0, 12.0, -3.0, -1.0
+#: Least score of a time or a sound.
 STOCK = 4.0
-#: A line whose words alone score as much is content; pairs are not looked up.
-SURE = 2 * LINE_CLIP
 HEADLINE = 40.0
 
-# --- fixed values: furniture known beforehand, in four languages ---------------------------
-SECTIONS = frozenset(
-    "home latest archive menu shop opinion events transcripts data world weather politics local video videos podcasts markets business sports culture "
-    "portada política tiempo vídeos agenda regiones economía opinión archivo última hora "
-    "accueil boutique archives à la une régions culture vidéos débats politique météo "
-    "startseite aktuell archiv wirtschaft regional wetter meinung termine mediathek politik".split()
+#: Stems of what a page interrupts its own text with (fixed values: general words of web pages).
+INTERRUPTIONS = re.compile(
+    r"\b(?:advert|sponsor|promot|subscri|newsletter|briefing|sign|cookie|gallery|photo|video|listen|podcast|donat|gift|continues|related|trending"
+    r"|anzeige|werbung|abonnier|anmeld|rundbrief|publicidad|anuncio|patrocin|suscri|boletín|publicité|parrain|abonne|lettre|suite)",
+    re.I,
 )
-FURNITURE = [
-    "was this page helpful",
-    "the views of guests are their own and do not bind. transcripts are made by machine and may contain errors; the recording prevails",
-    "registered office",
-    "do not sell my personal information",
-    "terms of use - privacy - contact - jobs",
-    "we and our # partners store cookies on your device. accept all | reject | manage choices",
-    "your privacy matters",
-    "we value your privacy. select \"agree\" to let us measure audiences and tailor ads",
-    "this site uses cookies to improve your visit. by browsing on you agree to our policy",
-    "follow us for updates",
-    "share this: mail | print | copy link",
-    "search this site",
-    "← previous | next →",
-    "powered by",
-    "# comments",
-    "report a correction",
-    "dark mode: on / off",
-    "subscribe from # mark a week",
-    "today's paper",
-    "log in | register",
-    "skip to main content",
-    "back to top",
-    "breaking alerts: turn on notifications",
-    "sign up for our morning briefing and never miss a session",
-    "you have # free articles left this month. already a member? sign in",
-    "if you value reporting like this, please think of a gift; of # marks before the end of the month; it takes less than a minute and keeps us free for all",
-    "is a reader-funded newsroom that covers assemblies, courts and councils. our staff answer to no party and no owner; write to the desk with tips",
-    "sponsored content",
-    "advertisement",
-    "story continues below",
-    "photo gallery: # pictures",
-    "click here to listen to this article (# min)",
-    "watch:",
-    "related |",
-    "see also →",
-    "read more:",
-    "next article:",
-    "filed under",
-    "tags:",
-    "advertise / help centre / accessibility",
-    "all rights reserved",
-    "media group",
-    "get the app",
-    "volver arriba",
-    "compartir: correo | imprimir",
-    "# comentarios",
-    "usamos cookies propias y de terceros. aceptar todo | configurar",
-    "si sigue navegando, entendemos que acepta nuestra política de privacidad",
-    "suscríbase",
-    "iniciar sesión",
-    "ir al contenido",
-    "buscar",
-    "aviso legal - contacto",
-    "publicidad",
-    "continúa tras el anuncio",
-    "reciba nuestro boletín diario",
-    "lea también:",
-    "etiquetas:",
-    "todos los derechos reservados",
-    "haut de page",
-    "partager : courriel | imprimer",
-    "# commentaires",
-    "nous utilisons des cookies pour mesurer notre audience. tout accepter | refuser",
-    "en poursuivant votre navigation, vous acceptez le dépôt de traceurs",
-    "s'abonner dès # franc",
-    "se connecter",
-    "aller au contenu",
-    "rechercher",
-    "mentions légales - contact",
-    "publicité",
-    "la suite après la publicité",
-    "recevez notre lettre du matin",
-    "lire aussi :",
-    "mots-clés :",
-    "tous droits réservés",
-    "nach oben",
-    "teilen: e-mail | drucken",
-    "# kommentare",
-    "mit ihrer zustimmung speichern # partner daten auf ihrem gerät",
-    "wir verwenden cookies, um unser angebot zu verbessern. zustimmen | ablehnen",
-    "jetzt abonnieren",
-    "anmelden",
-    "zum inhalt springen",
-    "suche",
-    "impressum - datenschutz - kontakt",
-    "anzeige",
-    "weiter nach der anzeige",
-    "hier zum newsletter anmelden",
-    "lesen sie auch:",
-    "schlagwörter:",
-    "alle rechte vorbehalten",
-]
-#: Lines that open a block of links, up to the next line of another kind.
-OPENERS = [
-    "most read",
-    "trending now",
-    "you might also like",
-    "more from this section",
-    "editors' picks",
-    "lo más leído",
-    "más noticias",
-    "les plus lus",
-    "dans la même rubrique",
-    "meistgelesen",
-    "mehr zum thema",
-]
-#: Short lines of an event itself.
-EVENT = ["thank you very much, everybody", "thank you", "good evening", "good morning", "questions followed", "the session was adjourned", "and then we vote", "really", "no", "yes", "by the numbers", "background", "reaction", "what comes next"]
-# --------------------------------------------------------------------------------------------
+#: Lines whose scores a worker keeps to save time.
+KEPT = 200_000
+#: Words of a stock phrase of an event at most.
+PHRASE = 5
 
 BULLETS = frozenset("•–*·▪◦-")
 LINK = re.compile(r"\[([^\[\]]*)\](?:\([^()\s]*\))?")
 NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 TIMED = re.compile(r"\s*(?:>>\s*)?[\[(]?(?:\d{1,2}:)?\d{1,3}:\d{2}[\])]?(?:\s|$)|[^\[\n]{0,60}\[(?:\d{1,2}:)?\d{1,3}:\d{2}\]:?\s*$")
-SOUND = re.compile(r"^\s*(?:\([^()]{2,30}\)|\[[^\[\]]{2,30}\]|<<?[^<>]{2,30}>>?|♪[^♪]*♪|\*[^*]{2,30}\*)\s*$")
+SOUND = re.compile(r"^\s*(?:\([^()]+\)|\[[^\[\]]+\]|<<?[^<>]+>>?|♪[^♪]*♪|\*[^*]+\*)\s*$")
 NOISE = re.compile(r"applau|laugh|cheer|cross ?talk|inaudible|unintelligible|music|cough|bell|audio|silence|pause|\bboo|sigh|noise|gavel|rires|musik|beifall|risas|aplausos", re.I)
 LABEL = re.compile(r"^\s*(?:>>\s*)?(?:\[[^\[\]]{2,50}\]:?|[^\W\d_][\w.'’\- ,()]{1,48}(?::|\s[—–])(?=\s|$))")
 WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|#|[|·»›>/→←©°•–—:?!.;,()\[\]-]")
@@ -178,71 +70,74 @@ def plain(line: str) -> str:
     return NUMBER.sub("#", bare(line)[0].lower())
 
 
-def _pattern(f: str) -> str:
-    """A known line's first clause; short ones must be the whole line or its start."""
-    head = re.split(r"[.;|:] ", f)[0] if len(f) > 60 else f
-    if head == "get the app":
-        return r"^get the .{2,40} app$"
-    rx = re.escape(head).replace(r"\#", "#")
-    return rx if len(head) > 9 else rf"^{rx}" + ("" if head.endswith((":", "|", "→")) else r"\W*$")
-
-
-PATTERNS = re.compile("|".join(map(_pattern, FURNITURE)))
-OPEN = re.compile("|".join(rf"^{re.escape(f)}\W*$" for f in OPENERS))
-EVENTS = frozenset(EVENT)
-CRUMB = re.compile(r"^\W*(?:[^\W\d_]+(?: [^\W\d_]+){0,2})\s+[/>»›]\s+\S")
-
-
 def is_sound(line: str) -> bool:
-    return len(line) < 60 and bool(SOUND.match(line) and NOISE.search(line))
+    return bool(SOUND.match(line) and NOISE.search(line))
 
 
 SEPARATORS = frozenset("|·»›/→←©°•")
 
 
-def is_menu(p: str) -> bool:
-    words = re.findall(r"[^\W\d_]+", p)
-    return bool(words) and all(w in SECTIONS for w in words)
-
-
 def is_sentence(line: str) -> bool:
     s = line.rstrip().rstrip("\"'”’»)")
     return len(s.split()) >= 9 and s[-1:] in ".?!…"
 
 
-def label_of(line: str) -> int | None:
-    """1 body, 0 furniture, 2 opener of a block, None unknown."""
-    p = plain(line)
-    if not p:
-        return None
-    if OPEN.match(p):
-        return 2
-    words = p.split()
-    if is_menu(p) or re.match(r"^©|^copyright #", p) or re.search(r"\|\s*-?#°", p) or (CRUMB.match(p) and words[0].strip("[•–* ") in SECTIONS):
-        return 0
-    m = PATTERNS.search(p)
-    if m and (not is_sentence(line) or m.start() < 25 and m.end() - m.start() > 25 or m.start() == 0 or "reader-funded newsroom" in p):
-        return 0
-    if p.rstrip(".!?") in EVENTS or TIMED.match(line) or is_sound(line):
-        return 1
-    return 1 if is_sentence(line) else None
-
-
-def labelled(lines: list[str]) -> list[int | None]:
-    """Labels of a page's lines; lines of a block of links are furniture."""
-    out: list[int | None] = []
-    inside = False
-    for line in lines:
-        k = label_of(line)
-        if k == 2:
-            inside, k = True, 0
-        elif inside and k is None and line.strip():
-            k = 0
-        elif inside and k == 1 and len(line.split()) <= 10 and not TIMED.match(line):
-            k = 0
-        elif line.strip():
-            inside = False
-        out.append(k)
+def repeated(pages: list[str]) -> dict[str, tuple[int, float]]:
+    """Of each line, numbers apart, that several pages have: on how many it
+    stands, and the share of its places that lie in running text."""
+    on, places, inside = Counter(), Counter(), Counter()
+    kept = []
+    for page in pages:
+        rows = [(plain(x), is_sentence(x)) for x in page.split("\n") if x.strip()]
+        on.update({p for p, _ in rows})
+        kept.append(rows)
+    for rows in kept:
+        lo, hi = running(rows, on)
+        places.update(p for p, _ in rows)
+        inside.update(p for p, _ in rows[lo : hi + 1])
+    return {p: (n, inside[p] / places[p]) for p, n in on.items() if n > 1}
+
+
+def running(rows: list[tuple[str, bool]], on: dict) -> tuple[int, int]:
+    """First and last statement that no other page has; (1, 0) where there is none.
+    Questions may be headings of other pages."""
+    own = [k for k, (p, s) in enumerate(rows) if s and p.rstrip("\"'”’»)")[-1:] != "?" and (on.get(p, 1) if not isinstance(on.get(p), tuple) else on[p][0]) == 1]
+    return (own[0], own[-1]) if own else (1, 0)
+
+
+def labelled(lines: list[str], known: dict[str, tuple[int, float]]) -> list[int | None]:
+    """Labels of a page's lines, 1 body, 0 furniture, None unknown: running text
+    is what no other page has and lies between sentences of that kind; what
+    several pages have around it is furniture, and what stands alone after it
+    leads elsewhere. Times, sounds and short phrases of an event, which end like
+    speech and stand in or next to it, are body. Pages without running text have no labels."""
+    out: list[int | None] = [None] * len(lines)
+    at = [k for k, x in enumerate(lines) if x.strip()]
+    rows = [(plain(lines[k]), is_sentence(lines[k])) for k in at]
+    lo, hi = running(rows, known)
+    if lo > hi:
+        return out  # without running text a page teaches nothing
+    for n, (k, (p, s)) in enumerate(zip(at, rows)):
+        pages, inner = known.get(p, (1, 0.0))
+        line = lines[k]
+        words = p.split()
+        ends = p[-1:] in ".?!"
+        marked = bare(line)[1] or not SEPARATORS.isdisjoint(p)
+        stops = bool(INTERRUPTIONS.search(p))
+        if TIMED.match(line) or is_sound(line):
+            out[k] = 1
+        elif lo <= n <= hi:
+            if pages == 1:
+                out[k] = 1 if s else 0 if marked else None
+            elif stops or marked or s and inner < 0.5:
+                out[k] = 0
+            elif inner > 0.6 or ends and len(words) <= PHRASE:
+                out[k] = 1
+        elif pages > 1:
+            phrase = ends and len(words) <= PHRASE and "#" not in p and inner > 0.2
+            out[k] = 1 if (phrase or inner > 0.6) and not stops and not marked else 0
+        elif n > hi or marked:
+            out[k] = 0
     return out
 
 
@@ -270,21 +165,24 @@ def features(line: str) -> list[str]:
     return [*ws, *(f"{a} {b}" for a, b in zip(ws, ws[1:])), *shape]
 
 
-def fit(pages: list[str], least: int = 2) -> Weights:
-    """Weights: clipped log odds of features between labelled body and furniture lines."""
+def fit(pages: list[str], least: int = 2, unseen: Callable[[str], bool] | None = None) -> Weights:
+    """Weights: clipped log odds of features between labelled body and furniture
+    lines. Lines that ``unseen`` holds out are not learned from, to measure how
+    well others teach them."""
     body, rest = Counter(), Counter()
     size = {True: [1, 1], False: [1, 1]}  # lines and words of body and of furniture
-    examples = ["\n".join(FURNITURE + OPENERS)] * 3
-    for page in [*pages, *examples]:
+    known = repeated(pages)
+    whole: dict[str, list[int]] = {}
+    for page in pages:
         lines = page.split("\n")
-        for line, k in zip(lines, labelled(lines)):
-            if k is not None:
+        for line, k in zip(lines, labelled(lines, known)):
+            if k is not None and not (unseen and unseen(plain(line))):
                 fs = features(line)
+                if (p := plain(line)) in known:
+                    whole.setdefault(p, [0, 0])[k] += 1
                 (body if k else rest).update(fs)
                 size[k == 1][0] += 1
                 size[k == 1][1] += sum(f[0] != "~" for f in fs)
-    for line in EVENT:
-        body.update(features(line + "."))
     out = {}
     for f in body.keys() | rest.keys():
         a, b = body[f], rest[f]
@@ -293,7 +191,9 @@ def fit(pages: list[str], least: int = 2) -> Weights:
             w = math.log((a + 0.5) / (size[True][k] + 1)) - math.log((b + 0.5) / (size[False][k] + 1))
             # what is known from few lines weighs little
             out[f] = max(-CLIP, min(CLIP, w * min(1.0, (a + b) / 6)))
-    return Weights(out)
+    # lines that several pages have are known whole, too
+    lines_ = {p: max(-WHOLE_CLIP, min(WHOLE_CLIP, 2 * math.log((a + 0.5) / (b + 0.5)))) for p, (b, a) in whole.items()}
+    return Weights(out, lines_)
 
 
 class Zero(dict):
@@ -304,32 +204,34 @@ class Zero(dict):
 
 
 class Weights:
-    """Weights of words and shapes and of word pairs, and the scores of short
-    lines seen under them, which stay where they are made."""
+    """Weights of words and shapes, of word pairs and of whole lines, and the
+    scores of lines met more than once, which stay where they are made."""
 
-    def __init__(self, weights: dict[str, float]):
+    def __init__(self, weights: dict[str, float], whole: dict[str, float]):
         self.single = Zero({f: w for f, w in weights.items() if " " not in f})
         self.pairs = {tuple(f.split(" ", 1)): w for f, w in weights.items() if " " in f}
+        self.whole = whole
+        self.longest = max(map(len, whole), default=0)
         self.known: dict[str, float] = {}
 
     def __getstate__(self):
-        return dict(self.single), self.pairs
+        return dict(self.single), self.pairs, self.whole
 
     def __setstate__(self, state):
-        self.single, self.pairs = Zero(state[0]), state[1]
+        self.single, self.pairs, self.whole = Zero(state[0]), state[1], state[2]
+        self.longest = max(map(len, self.whole), default=0)
         self.known = {}
 
 
 def score(line: str, weights: Weights) -> float:
-    if len(line) < 160 and label_of(line) in (0, 2):
-        return LINE_FLOOR  # known as such
     ws, shape = taken_apart(line)
     get = weights.single.__getitem__
     s = sum(map(get, ws)) + sum(map(get, shape))
-    if s >= SURE:
-        return LINE_CLIP  # its words settle it
     s += sum(filter(None, map(weights.pairs.get, zip(ws, ws[1:]))))
-    if TIMED.match(line) or len(line) < 80 and (is_sound(line) or plain(line).rstrip(".!?") in EVENTS):
+    p = plain(line)
+    if len(p) <= weights.longest:
+        s += weights.whole.get(p, 0.0)
+    if TIMED.match(line) or is_sound(line):
         s = max(s, STOCK)
     elif s > 0 and LABEL.match(line) and is_sentence(line):
         s += 1.0
@@ -347,7 +249,7 @@ def headings(title: str | None, rec: str | None) -> tuple[str, str]:
 
 
 def is_headline(line: str, whole: str, stem: str) -> bool:
-    if len(line) > 400 or not (whole or stem):
+    if not (whole or stem):
         return False
     first = re.search(r"\w", line)
     c = first[0].lower()[:1] if first else ""
@@ -364,11 +266,11 @@ def body_lines(text: str, weights: Weights, title: str | None = None, rec: str |
     rows = []
     for k, line in enumerate(lines):
         if line.strip():
-            s = weights.known.get(line) if len(line) < 160 else None
+            s = weights.known.get(line)
             if s is None:
                 s = score(line, weights)
-                if len(line) < 160 and len(weights.known) < 200_000:
-                    weights.known[line] = s  # furniture recurs
+                if len(line) <= weights.longest and len(weights.known) < KEPT:
+                    weights.known[line] = s  # what several pages have recurs
             head = is_headline(line, whole, stem)
             rows.append((k + 1, HEADLINE if head else s, head))
     # the best stretch: one scan with the sum since the last fresh start
