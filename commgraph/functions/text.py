@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,6 +42,18 @@ def first_tokens(text: Column | str, n: int) -> Column:
     return F.array_join(F.slice(F.regexp_extract_all(_col(text), F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"), F.lit(0)), 1, n), " ")
 
 
+#: Blocks a sample of a page leaves out (fixed values).
+NOT_SAMPLED = ("head", "script", "style", "nav", "footer")
+
+
+def without_blocks(source: Column | str) -> Column:
+    """A page's source without the blocks above, up to each one's end."""
+    out = _col(source)
+    for tag in NOT_SAMPLED:
+        out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", "")
+    return out
+
+
 def middle_sample(text: Column | str, most: int = 30_000) -> Column:
     """From a quarter of the text on, ``most`` characters or up to three quarters."""
     t = _col(text)
@@ -48,3 +65,25 @@ def middle_sample(text: Column | str, most: int = 30_000) -> Column:
 
 def sentences(text: Column | str) -> Column:
     return F.filter(F.split(_col(text), r"(?<=[.!?])\s+"), lambda s: s != "")
+
+
+def embedding(text: Column, dims: int = 256) -> Column:
+    """A unit vector of hashed words, the default where no model is given; its
+    table of hashes is made once a worker. Empty and null text have a zero vector."""
+
+    @F.pandas_udf("array<double>")
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, int] = {}
+        for s in batches:
+            out = []
+            for t in s:
+                v = np.zeros(dims)
+                for w in (t or "").lower().split():
+                    v[known.setdefault(w, zlib.crc32(w.encode("utf-8", "surrogatepass")) % dims)] += 1
+                n = np.linalg.norm(v)
+                out.append(v / n if n else v)
+            if len(known) > 500_000:
+                known.clear()
+            yield pd.Series(out)
+
+    return embed(F.coalesce(text, F.lit("")))

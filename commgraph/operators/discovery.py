@@ -67,17 +67,32 @@ def first_batches(rows: DataFrame, batch: str, key: str) -> DataFrame:
     return rows.where(F.col(key).isNotNull() & F.col(batch).isNotNull()).groupBy(key).agg(F.min(batch).alias(batch)).select(batch, key)
 
 
-def batch_progress(rows: DataFrame, batch: str, key: str, day: Column, start: str) -> DataFrame:
+def batch_progress(rows: DataFrame, batch: str, key: str, day: Column, start: str, followed: Column | None = None) -> DataFrame:
     """(batch, n_rows, n_new, below, duplicate_only, barren_run) of each batch:
     keys first seen in it, whether a date lies before the day before ``start``,
     whether nothing was new, and how many batches in a row, up to it, brought
-    nothing new. Counters of batches are windowed, not rows."""
+    nothing new; the run starts afresh where something was new or a row shows
+    that a link was ``followed``. Counters of batches are windowed, not rows."""
     firsts = rows.groupBy(F.col(key).alias("k")).agg(F.min(batch).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n_new"))
-    sums = rows.groupBy(F.col(batch).alias("b")).agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.when(day < F.date_sub(F.lit(start).cast("date"), 1), 1).otherwise(0)).alias("below"))
+    sums = rows.groupBy(F.col(batch).alias("b")).agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.when(day < F.date_sub(F.lit(start).cast("date"), 1), 1).otherwise(0)).alias("below"), F.max(F.when(F.lit(False) if followed is None else followed, 1).otherwise(0)).alias("reset"))
     s = sums.join(firsts, "b", "left").na.fill(0, ["n_new"])
     w = Window.partitionBy(F.lit(0)).orderBy("b")  # one row per batch
-    s = s.withColumn("island", F.sum(F.when(F.col("n_new") > 0, 1).otherwise(0)).over(w))
+    s = s.withColumn("island", F.sum(F.when((F.col("n_new") > 0) | (F.col("reset") == 1), 1).otherwise(0)).over(w))
     run = Window.partitionBy("island").orderBy("b")
     return s.select(
-        F.col("b").alias("batch"), "n_rows", "n_new", (F.col("below") == 1).alias("below"), (F.col("n_new") == 0).alias("duplicate_only"), F.sum(F.when(F.col("n_new") == 0, 1).otherwise(0)).over(run).alias("barren_run")
+        F.col("b").alias("batch"), "n_rows", "n_new", (F.col("below") == 1).alias("below"), (F.col("n_new") == 0).alias("duplicate_only"), F.sum(F.when((F.col("n_new") == 0) & (F.col("reset") == 0), 1).otherwise(0)).over(run).alias("barren_run")
     )
+
+
+def crawl_stops(rows: DataFrame, session: str, batch: str, url: str, max_pages: int) -> DataFrame:
+    """(session, batch, page, n_visited, n_failed, stop): the pages of a session in
+    order of batch; actions on an address that an earlier page of the session
+    had, and rows without an address to follow. A session stops at a page that
+    only repeats actions, that has no address, or is beyond ``max_pages``."""
+    own = rows.select(F.col(session).alias("session"), F.col(batch).alias("batch"), F.nullif(F.col(url), F.lit("")).alias("u")).where("session IS NOT NULL AND batch IS NOT NULL")
+    first = own.where("u IS NOT NULL").groupBy("session", "u").agg(F.min("batch").alias("first"))
+    actions = own.where("u IS NOT NULL").distinct().join(first, ["session", "u"]).groupBy("session", "batch").agg(F.count(F.lit(1)).alias("n_actions"), F.count(F.when(F.col("first") < F.col("batch"), 1)).alias("n_visited"))
+    pages = own.groupBy("session", "batch").agg(F.count(F.when(F.col("u").isNull(), 1)).alias("n_failed")).join(actions, ["session", "batch"], "left").na.fill(0, ["n_actions", "n_visited"])
+    page = F.row_number().over(Window.partitionBy("session").orderBy("batch"))  # one row per page
+    stop = F.when(F.col("page") > max_pages, "max pages").when(F.col("n_actions") == 0, "no address").when(F.col("n_visited") == F.col("n_actions"), "visited")
+    return pages.withColumn("page", page).select("session", "batch", "page", "n_visited", "n_failed", stop.alias("stop"))

@@ -14,6 +14,52 @@ def speaker_nodes(registry: DataFrame) -> DataFrame:
     return last_rows(r, ["speaker_id"], [F.desc("role"), F.desc("organization"), F.desc("industry"), F.desc("region")])
 
 
+def communication_nodes(items: DataFrame) -> DataFrame:
+    """One node per id with its nine properties and its name, the title; unknown
+    titles and dates say so, a missing address is empty. Of several rows of an
+    id the greatest stands."""
+    def known(c: str, default: str):
+        return F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(default)).alias(c)
+
+    own = items.where("id IS NOT NULL").select(
+        "id", known("title", "Unknown"), known("content_type", "other"), known("content_date", "Unknown"), F.coalesce("source_url", F.lit("")).alias("source_url"), F.coalesce("full_text", F.lit("")).alias("full_text"),
+        F.coalesce("word_count", F.lit(0)).alias("word_count"), F.coalesce("was_summarized", F.lit(False)).alias("was_summarized"), F.coalesce("compression_ratio", F.lit(1.0)).alias("compression_ratio"),
+    )
+    props = [c for c in own.columns if c != "id"]
+    return own.groupBy("id").agg(F.max(F.struct(*props)).alias("n")).select("id", F.col("n.title").alias("name"), *[f"n.{c}" for c in props])
+
+
+def broken_constraints(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(label, n_nodes, n_broken) of each node table: keys that are null or come more than once."""
+    out = None
+    for label, (nodes, key) in tables.items():
+        by = nodes.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        own = by.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_nodes"), F.count(F.when((F.col("n") > 1) | F.col("k").isNull(), 1)).alias("n_broken")).select(F.lit(label).alias("label"), "n_nodes", "n_broken")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def load_counters(items: DataFrame, registry: DataFrame, claims: DataFrame) -> DataFrame:
+    """(kind, touched, n): how often a load merges or creates each kind of node
+    and edge, a communication once for each of its speakers, and how many there are."""
+    pair = items.select(F.col("id").alias("c"), F.explode("matched_speakers").alias("s")).distinct().join(registry.select(F.col("display_name").alias("s")).distinct(), "s", "left_semi")
+    c = claims.where("comm_id IS NOT NULL AND speaker IS NOT NULL AND topic IS NOT NULL").select("claim_id", "comm_id", "speaker", "topic", "entity_name").distinct()
+    topic = F.struct("comm_id", "speaker", "topic")
+    both = topic.isNotNull() & F.col("entity_name").isNotNull()
+    p = pair.agg(F.count(F.lit(1)).alias("p"), F.countDistinct("s").alias("s"), F.countDistinct("c").alias("c"))
+    t = c.agg(
+        F.countDistinct(topic).alias("t"), F.countDistinct(F.when(both, F.struct(topic, "entity_name"))).alias("te"), F.countDistinct("entity_name").alias("e"),
+        F.count(F.when(both, 1)).alias("k"), F.countDistinct(F.when(both, F.struct("entity_name", "claim_id"))).alias("ek"),
+    )
+    from_pairs = [("Speaker", "p", "s"), ("Communication", "p", "c"), ("DELIVERED", "p", "p")]
+    from_claims = [("Topic", "t", "t"), ("HAS_TOPIC", "t", "t"), ("Entity", "te", "e"), ("HAS_ENTITY", "te", "te"), ("Claim", "k", "k"), ("HAS_CLAIM", "k", "ek")]
+
+    def rows(counts: DataFrame, kinds: list[tuple[str, str, str]]) -> DataFrame:
+        return counts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(x).alias("touched"), F.col(y).alias("n")) for k, x, y in kinds])).alias("x")).select("x.*")
+
+    return rows(p, from_pairs).unionByName(rows(t, from_claims))
+
+
 def topic_nodes(claims: DataFrame, summaries: DataFrame) -> DataFrame:
     """(topic_id, comm_id, speaker, topic, n_claims, topic_summary): one per
     communication, speaker and topic of the claims; without a summary of its own

@@ -6,7 +6,7 @@ import difflib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OVER, AT_LEAST = 0.85, 0.9
@@ -79,3 +79,13 @@ def distinct_passages(rows: DataFrame, key: str, texts: str) -> DataFrame:
 def added_lines(old: str, new: str) -> list[str]:
     """Lines that ``new`` adds to ``old``."""
     return [line[2:] for line in difflib.Differ().compare(old.splitlines(), new.splitlines()) if line.startswith("+ ")]
+
+
+def line_delta(old: Column, new: Column) -> Column:
+    """The lines that ``new`` adds to ``old``, as a list; null counts as empty."""
+
+    @F.pandas_udf("array<string>")
+    def delta(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([added_lines(x or "", y or "") for x, y in zip(a, b)], dtype=object)
+
+    return delta(F.coalesce(old, F.lit("")), F.coalesce(new, F.lit("")))

@@ -38,20 +38,30 @@ def fold_log(log: DataFrame, article: str = "article_id", stage: str = "stage",
     def last(c: str) -> Column:
         return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c)
 
-    merged = F.aggregate(
-        F.array_sort(F.collect_list(F.when(F.col("metadata").isNotNull(), F.struct(F.col(seq).alias("seq"), F.col("metadata").alias("m"))))),
-        F.create_map().cast("map<string,string>"),
-        lambda acc, x: F.map_concat(F.map_filter(acc, lambda k, v: ~F.array_contains(F.map_keys(F.from_json(x["m"], "map<string,string>")), k)), F.from_json(x["m"], "map<string,string>")),
+    # metadata is merged entry by entry, so a key with a long log is spread over all tasks
+    entries = rows.where("metadata IS NOT NULL").select(article, stage, seq, F.explode_outer(F.from_json("metadata", "map<string,string>")).alias("_k", "_v"))
+    merged = (
+        entries.groupBy(article, stage, "_k")
+        .agg(F.max_by("_v", seq).alias("_v"))
+        .groupBy(article, stage)
+        .agg(F.map_from_entries(F.collect_list(F.when(F.col("_k").isNotNull(), F.struct("_k", "_v")))).alias("metadata"))
     )
-    return rows.groupBy(article, stage).agg(
+    folded = rows.groupBy(article, stage).agg(
         F.max_by("status", seq).alias("status"),
         F.max_by("error_message", seq).alias("error_message"),
         F.sum(F.when(F.col("status") == "FAILED", 1).otherwise(0)).alias("retry_count"),
         last("completed_at"),
         last("processing_time"),
         last("file_path"),
-        F.when(F.count("metadata") > 0, merged).alias("metadata"),
     )
+    return folded.join(merged, [article, stage], "left")
+
+
+def article_fields(stage_rows: DataFrame, articles: DataFrame, key: str, fields: list[str], article: str = "article_id") -> DataFrame:
+    """Stage rows with the fields of their article, null where it isn't known. Of
+    several rows of an article the one with the least fields stands."""
+    own = articles.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(article)).agg(F.min(F.struct(*fields)).alias("_f"))
+    return stage_rows.join(own, article, "left").select(*stage_rows.columns, *[F.col(f"_f.{f}").alias(f) for f in fields])
 
 
 def rebuild_states(stage_rows: DataFrame, article: str = "article_id") -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commgraph.plans import hotkeys, knowledge, scalars
+from commgraph.plans import hotkeys, knowledge, scalars, stages
 
-MODULES = (hotkeys, scalars, knowledge)
+MODULES = (hotkeys, scalars, knowledge, stages)
 FLAGSHIP = "ref_Q3_Q12_sentiment_over_time"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commgraph import annotate
@@ -10,7 +10,7 @@ from commgraph.operators import graph as G
 from commgraph.operators import similarity, state, summarize
 from commgraph.runtime import table
 from commgraph.streaming import incremental
-from commgraph.vocab import ENTITY_TYPES, SENTIMENTS, STAGES, TOPICS
+from commgraph.vocab import ENTITY_TYPES, SENTIMENTS, TOPICS
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -28,38 +28,29 @@ def query(sql: str | None = None):
 
 # --- pipeline state, from the event stream read as a log ------------------------------------
 
-LOG = """log AS (SELECT user_id AS article_id, CASE event_id % 7 WHEN 0 THEN 'discover' WHEN 1 THEN 'scrape' WHEN 2 THEN 'filter' WHEN 3 THEN 'summarize' WHEN 4 THEN 'extract' WHEN 5 THEN 'categorize' ELSE 'graph' END AS stage, event_id % 7 AS o,
-        event_id AS seq, CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 7 = 2 AND value < 5 THEN 'FILTERED' ELSE 'COMPLETED' END AS status,
+LOG = """log AS (SELECT user_id AS article_id, ['discover', 'scrape', 'filter', 'summarize', 'extract', 'categorize', 'graph'][event_id % (user_id % 7 + 1) + 1] AS stage, event_id % (user_id % 7 + 1) AS o,
+        event_id AS seq, CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % (user_id % 7 + 1) = 2 AND value < 5 THEN 'FILTERED' ELSE 'COMPLETED' END AS status,
         CASE WHEN event_type = 'error' THEN 'error ' || event_id END AS error_message, CASE WHEN event_type != 'error' THEN ts::VARCHAR END AS completed_at, CASE WHEN event_type != 'error' THEN value END AS processing_time
-        FROM events WHERE event_id % 7 <= user_id % 7)"""
+        FROM events)"""
 FOLD = """fold AS (SELECT article_id, stage, o, arg_max(status, seq) AS status, arg_max(coalesce(error_message, ''), seq) AS err, sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END)::BIGINT AS retry_count,
          arg_max(processing_time, seq) FILTER (WHERE processing_time IS NOT NULL) AS processing_time FROM log GROUP BY article_id, stage, o)"""
 
 
-#: The log of all events: each article's events spread over the stages it reaches, none left out.
-WHOLE_LOG = LOG.replace(" WHERE event_id % 7 <= user_id % 7", "").replace("event_id % 7", "event_id % (user_id % 7 + 1)")
-
-
-def staged(events: DataFrame, whole: bool) -> tuple[DataFrame, Column]:
-    """Events and the order of their stage; with ``whole`` all of them, else those by number that their article reaches."""
-    reach = F.col("user_id") % 7
-    if whole:
-        return events, (F.col("event_id") % (reach + 1)).cast("int")
-    o = (F.col("event_id") % 7).cast("int")
-    return events.where(o <= reach), o
-
-
-def stage_log(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Events as a log: a stage by event number, articles that reach only some stages."""
-    e, o = staged(table(spark, sf_dir, "events"), whole)
+def log_rows(events: DataFrame) -> DataFrame:
+    """Events, a table or a stream, as a log: all of each article's events, spread over the stages it reaches."""
+    o = (F.col("event_id") % (F.col("user_id") % 7 + 1)).cast("int")
     failed = F.col("event_type") == "error"
-    return e.select(
+    return events.select(
         F.col("user_id").alias("article_id"), state.stage_at(o).alias("stage"), F.col("event_id").alias("seq"), F.when(failed, "FAILED").when((o == 2) & (F.col("value") < 5), "FILTERED").otherwise("COMPLETED").alias("status"),
         F.when(failed, F.concat(F.lit("error "), F.col("event_id"))).alias("error_message"), F.when(~failed, F.col("ts").cast("string")).alias("completed_at"), F.when(~failed, F.col("value")).alias("processing_time"),
         F.lit(None).cast("string").alias("file_path"), F.col("props").alias("metadata"),
     )
 
 
+def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_rows(table(spark, sf_dir, "events"))
+
+
 @query(f"WITH {LOG}, {FOLD} SELECT article_id, stage, status, nullif(err, '') AS error_message, retry_count, round(processing_time, 4) AS processing_time FROM fold")
 def ref_A6_S9_stage_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.fold_log(stage_log(spark, sf_dir)).select("article_id", "stage", "status", "error_message", "retry_count", F.round("processing_time", 4).alias("processing_time"))
@@ -81,39 +72,12 @@ def ref_F4_R1_ready_for_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.ready_for(state.rebuild_states(state.fold_log(stage_log(spark, sf_dir))), "extract").select("article_id")
 
 
-@query()
+@query(f"WITH {LOG}, {FOLD} SELECT article_id, stage, status, nullif(err, '') AS error_message, retry_count, round(processing_time, 4) AS processing_time FROM fold")
 def ref_R2_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fold as keyed streaming state, read to its end; the last emission of each key stands."""
-    log = stage_log_of(incremental.stream_table(spark, f"{sf_dir}/events.parquet"))
-    out = incremental.drain(incremental.fold_stream(log), "update")
-    return out.select("article_id", "stage", "status", "retry_count")
-
-
-def stage_log_of(events: DataFrame, whole: bool = False) -> DataFrame:
-    events, o = staged(events, whole)
-    failed = F.col("event_type") == "error"
-    return events.select(F.col("user_id").alias("article_id"), state.stage_at(o).alias("stage"), F.col("event_id").alias("seq"), F.when(failed, "FAILED").when((o == 2) & (F.col("value") < 5), "FILTERED").otherwise("COMPLETED").alias("status"))
-
-
-@query(ORACLE["ref_A6_S9_stage_fold"].replace(LOG, WHOLE_LOG))
-def ref_A6_S9_stage_fold_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.fold_log(stage_log(spark, sf_dir, whole=True)).select("article_id", "stage", "status", "error_message", "retry_count", F.round("processing_time", 4).alias("processing_time"))
-
-
-@query(ORACLE["ref_A7_P13_S6_S7_states"].replace(LOG, WHOLE_LOG))
-def ref_A7_P13_S6_S7_states_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.rebuild_states(state.fold_log(stage_log(spark, sf_dir, whole=True)))
-
-
-@query(ORACLE["ref_F4_R1_ready_for_extract"].replace(LOG, WHOLE_LOG))
-def ref_F4_R1_ready_for_extract_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.ready_for(state.rebuild_states(state.fold_log(stage_log(spark, sf_dir, whole=True))), "extract").select("article_id")
-
-
-@query(f"WITH {WHOLE_LOG}, {FOLD} SELECT article_id, stage, status, retry_count FROM fold")
-def ref_R2_state_stream_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = stage_log_of(incremental.stream_table(spark, f"{sf_dir}/events.parquet"), whole=True)
-    return incremental.drain(incremental.fold_stream(log), "update").select("article_id", "stage", "status", "retry_count")
+    log = log_rows(incremental.stream_table(spark, f"{sf_dir}/events.parquet"))
+    out = incremental.drain(incremental.fold_stream(log), "update", ["article_id", "stage"])
+    return out.select("article_id", "stage", "status", "error_message", "retry_count", F.round("processing_time", 4).alias("processing_time"))
 
 
 @query("SELECT DISTINCT url FROM discovered WHERE url IS NOT NULL")
@@ -202,11 +166,6 @@ def ref_X6_J3_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.last_rows(w, ["comm_id", "speaker", "entity"], [F.desc("ord"), F.desc_nulls_last("reason")]).select("comm_id", "speaker", "entity", "ord", "reason")
 
 
-@query("SELECT entity, min(speaker) AS first_speaker, count(DISTINCT speaker) AS n_speakers FROM whitelist WHERE entity IS NOT NULL GROUP BY entity")
-def ref_X4_entity_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "whitelist").where("entity IS NOT NULL").groupBy("entity").agg(F.min("speaker").alias("first_speaker"), F.countDistinct("speaker").alias("n_speakers"))
-
-
 SENT = """s AS (SELECT label AS doc, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS idx, embedding::DOUBLE[] AS vec, vec_id % 40 + 5 AS words FROM embeddings),
     q AS (SELECT doc, quantile_cont(words, 0.9) AS q FROM s GROUP BY doc),
     w AS (SELECT s.doc, idx, vec, words, CASE WHEN q > 0 THEN least(words / q, 1.0) ELSE 1.0 END AS l FROM s JOIN q USING (doc)),
@@ -234,19 +193,16 @@ def ref_T1_T2_T3_W5_budgeted_summary(spark: SparkSession, sf_dir: str) -> DataFr
     return summarize.budgeted_prefix(scored, 200).select("doc", "idx")
 
 
-@query("""
-    SELECT claim_id, count(*) AS n FROM (
-        SELECT DISTINCT claim_id, 'a' AS v FROM claims WHERE NOT coalesce(length(claim_label) BETWEEN 2 AND 50, false)
-        UNION ALL SELECT DISTINCT claim_id, 'b' FROM claims WHERE coalesce(len(regexp_split_to_array(trim(claim_label), '\\s+')) > 3, true)
-        UNION ALL SELECT DISTINCT claim_id, 'c' FROM claims WHERE coalesce(sentiment, '') NOT IN ('positive', 'negative', 'neutral', 'unclear')
-        UNION ALL SELECT DISTINCT claim_id, 'd' FROM claims WHERE coalesce(entity_type, '') NOT IN ('organization', 'location', 'person', 'program', 'product', 'event', 'other')
-        UNION ALL SELECT DISTINCT claim_id, 'e' FROM claims WHERE coalesce(len(passages), 0) < 1
-        UNION ALL SELECT DISTINCT claim_id, 'f' FROM claims WHERE NOT coalesce(length(entity_name) BETWEEN 1 AND 200, false)) GROUP BY claim_id""")
-def ref_V1_V4_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.violations(table(spark, sf_dir, "claims"), TOPICS, ENTITY_TYPES, SENTIMENTS).distinct().where(F.size("violations") > 0).select("claim_id", F.size("violations").cast("bigint").alias("n"))
+def _hits(words: list[str]) -> str:
+    return rf"len(regexp_extract_all(lower(verbatim), '\b(?:{'|'.join(words)})[a-z]*\b'))"
 
 
-@query()
+TOPIC_SQL = ", ".join(f"{{'n': {_hits(annotate.TOPIC_WORDS[t])}, 'k': {-k}, 't': '{t}'}}" for k, t in enumerate(TOPICS) if t in annotate.TOPIC_WORDS)
+
+
+@query(f"""
+    WITH p AS (SELECT DISTINCT passage_id, verbatim FROM passages), h AS (SELECT passage_id, {_hits(annotate.POSITIVE)} AS p, {_hits(annotate.NEGATIVE)} AS m, list_max([{TOPIC_SQL}]) AS b FROM p)
+    SELECT passage_id, CASE WHEN b.n > 0 THEN b.t ELSE 'other' END AS topic, CASE WHEN p = 0 AND m = 0 THEN 'unclear' WHEN p > m THEN 'positive' WHEN m > p THEN 'negative' ELSE 'neutral' END AS sentiment FROM h""")
 def ref_U5_rule_annotator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic and sentiment of passages by the default annotator."""
     p = table(spark, sf_dir, "passages").select("passage_id", "verbatim").distinct()
@@ -289,24 +245,6 @@ def ref_G4_entity_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.entity_nodes(table(spark, sf_dir, "claims"))
 
 
-@query(f"WITH {CLAIMS} SELECT count(*) AS n_claims, count(DISTINCT claim_id) AS n_ids FROM c")
-def ref_G5_A14_claim_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "claims")
-    twice = G.claim_nodes(c.unionAll(c))  # loading again adds nothing
-    return twice.agg(F.count(F.lit(1)).alias("n_claims"), F.countDistinct("claim_id").alias("n_ids"))
-
-
-@query(f"""
-    WITH {CLAIMS}, t AS (SELECT *, comm_id || '__' || speaker || '__' || topic AS topic_id FROM c WHERE comm_id IS NOT NULL AND speaker IS NOT NULL AND topic IS NOT NULL),
-    m AS (SELECT DISTINCT id, unnest(matched_speakers) AS s FROM filter_items)
-    SELECT rel, count(*) AS n FROM (
-        SELECT DISTINCT 'DELIVERED' AS rel, s AS src, id AS dst FROM m WHERE s IN (SELECT display_name FROM speakers)
-        UNION ALL SELECT DISTINCT 'HAS_TOPIC', comm_id, topic_id FROM t UNION ALL SELECT DISTINCT 'HAS_ENTITY', topic_id, entity_name FROM t WHERE entity_name IS NOT NULL
-        UNION ALL SELECT DISTINCT 'HAS_CLAIM', entity_name, claim_id::VARCHAR FROM t WHERE entity_name IS NOT NULL) GROUP BY rel""")
-def ref_G2_G6_J12_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.edges(table(spark, sf_dir, "filter_items"), table(spark, sf_dir, "speakers"), table(spark, sf_dir, "claims")).groupBy("rel").agg(F.count(F.lit(1)).alias("n"))
-
-
 # --- questions -----------------------------------------------------------------------------
 
 

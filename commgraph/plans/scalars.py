@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commgraph.config import LIMITS
 from commgraph.functions import text as T
 from commgraph.functions import urls as U
 from commgraph.functions.dates import parse_date
@@ -98,16 +99,21 @@ def ref_P15_P16_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "discovered").select("disc_id", U.href_of(sel).alias("href"), F.concat_ws(":", "url", F.lit("click"), sel).alias("action_key"))
 
 
-@query(r"SELECT doc_id, md5(array_to_string(list_slice(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]'), 1, 100), ' ')) AS first_tokens FROM documents WHERE text IS NOT NULL")
+@query(r"SELECT doc_id, md5(array_to_string(list_slice(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]'), 1, 10000), ' ')) AS first_tokens FROM documents WHERE text IS NOT NULL")
 def ref_P17_token_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.md5(T.first_tokens("text", 100)).alias("first_tokens"))
+    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.md5(T.first_tokens("text", LIMITS.preview_tokens)).alias("first_tokens"))
 
 
-@query("""
-    WITH t AS (SELECT DISTINCT id, content, length(content) AS n FROM extract_context WHERE content IS NOT NULL)
+BODY = "content"
+for _tag in T.NOT_SAMPLED:
+    BODY = rf"regexp_replace({BODY}, '<{_tag}(?:\s[^>]*)?>.*?</{_tag}\s*>', '', 'gis')"
+
+
+@query(f"""
+    WITH s AS (SELECT DISTINCT id, content FROM extract_context WHERE content IS NOT NULL), b AS (SELECT id, {BODY} AS content FROM s), t AS (SELECT id, content, length(content) AS n FROM b)
     SELECT id, md5(substr(content, floor(n * 0.25)::INT + 1, least(floor(n * 0.25)::INT + 30000, floor(n * 0.75)::INT) - floor(n * 0.25)::INT)) AS sample FROM t""")
 def ref_P18_html_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "extract_context").where("content IS NOT NULL").select("id", "content").distinct().select("id", F.md5(T.middle_sample("content").cast("binary")).alias("sample"))
+    return table(spark, sf_dir, "extract_context").where("content IS NOT NULL").select("id", "content").distinct().select("id", F.md5(T.middle_sample(T.without_blocks("content"), LIMITS.html_sample).cast("binary")).alias("sample"))
 
 
 @query("SELECT disc_id, strftime(discovered_at, 'discovery-%Y%m%d_%H%M%S') AS discovery_id, coalesce(publication_date, 'unknown') || ' to present' AS date_range FROM discovered")
@@ -164,14 +170,8 @@ def ref_F9_J2_registry_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, "speaker", "left").select("speaker", "n_claims", F.coalesce("k", F.lit(False)).alias("known"))
 
 
-@query("SELECT DISTINCT d.url FROM discovered d WHERE d.batch_no = 1 AND NOT EXISTS (SELECT 1 FROM discovered o WHERE o.batch_no < 1 AND o.url = d.url)")
-def ref_F12_J6_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "discovered").select("url", "batch_no")
-    return t.where("batch_no = 1").select("url").distinct().join(t.where("batch_no < 1").select("url"), "url", "left_anti")
-
-
 @query("SELECT DISTINCT d.batch_no, d.url FROM discovered d WHERE d.batch_no > 0 AND d.url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM discovered o WHERE o.batch_no < d.batch_no AND o.url = d.url)")
-def ref_F12_J6_new_urls_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ref_F12_J6_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch against all earlier ones, history included: an address is new in the first batch that has it."""
     return D.first_batches(table(spark, sf_dir, "discovered"), "batch_no", "url").where("batch_no > 0")
 

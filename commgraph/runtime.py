@@ -34,7 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests, a temporary folder takes its place.
+    Only where that is unset and the session is local, as in tests, a temporary
+    folder takes its place; on a cluster its absence is an error.
     """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if known:
@@ -42,6 +43,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     had = spark.sparkContext.getCheckpointDir()
     if had:
         return had.rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="commgraph-")
     spark.sparkContext.setCheckpointDir(own)
     return own

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 
@@ -13,9 +12,12 @@ from pyspark.sql import functions as F
 ENVELOPE = "id string, success boolean, data map<string,string>, error_message string"
 
 
-def read_artifacts(spark: SparkSession, path: str, schema: str = ENVELOPE) -> DataFrame:
-    """JSON artifacts, one object a file or a line, under a declared schema; a broken one fails the read."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", True).option("recursiveFileLookup", True).json(path)
+def read_artifacts(spark: SparkSession, path: str, schema: str = ENVELOPE, form: str = "document") -> DataFrame:
+    """JSON artifacts under a declared schema; a broken one fails the read. ``form``
+    is "document" for one object, or a list of them, a file, "lines" for one a line."""
+    if form not in ("document", "lines"):
+        raise ValueError(f"form {form}")
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", form == "document").option("recursiveFileLookup", True).json(path)
 
 
 def stage_output(artifacts: DataFrame, stage: str) -> DataFrame:
@@ -29,9 +31,43 @@ def write_artifacts(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("publication_date", "source_slug").format(fmt).save(path)
 
 
-def write_graph(tables: dict[str, DataFrame], path: str) -> None:
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+#: The tables of a graph in the order they are loaded, with their keys (fixed values).
+LOAD_ORDER = {"speaker": ["speaker_id"], "communication": ["id"], "topic": ["topic_id"], "entity": ["entity_name"], "claim": ["claim_key"], "edge": ["src", "rel", "dst"]}
+
+
+def write_graph(tables: dict[str, DataFrame], path: str) -> list[str]:
+    """Merge nodes and edges into the tables below ``path`` by their keys, in
+    LOAD_ORDER; a row that comes again replaces the one that is there, so that
+    loading twice changes nothing. Returns the versions written. A table is
+    written whole beside the old one and then takes its place."""
+    done = []
+    for name, keys in LOAD_ORDER.items():
+        if name not in tables:
+            continue
+        new = tables[name]
+        spark = new.sparkSession
+        fs, at, part = _place(spark, f"{path}/{name}")
+        if fs.exists(at):
+            old = spark.read.schema(new.schema).parquet(f"{path}/{name}")
+            new = new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
+        new.write.mode("overwrite").parquet(f"{path}/_{name}")
+        fs.delete(at, True)
+        fs.rename(part, at)
+        done.append(name)
+    return done
+
+
+def _place(spark: SparkSession, path: str):
+    folder, _, name = path.rpartition("/")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}")
+
+
+def artifact_path(date: str | None, slug: str, item: str, stage: str) -> str:
+    """Where a stage's artifact of one item lies; an item without a date is refused."""
+    if date is None:
+        raise TypeError("publication_date is None")
+    return f"{date}/{slug}/{item}/{stage}.json"
 
 
 #: Blocks that never hold a page's text (fixed values).
@@ -75,15 +111,56 @@ def strip_html(source: str) -> str:
 
 
 def transcript_entries(source: str, entry: str, speaker: str, stamp: str, said: str) -> str:
-    """Speaker blocks of a page: entries without a speaker or words are skipped."""
+    """Speaker blocks of a page, by exact class attributes; what is nested in them
+    belongs to them. Entries without a speaker or words are skipped."""
+    from html.parser import HTMLParser
+
+    wanted = {("h2", speaker): 0, ("span", stamp): 1, ("div", said): 2}
+
+    class Reader(HTMLParser):
+        def __init__(self) -> None:
+            super().__init__(convert_charrefs=True)
+            self.entries: list[list[str | None]] = []
+            self.depth = 0  # open divs of an entry
+            self.field: int | None = None
+            self.tag, self.level = "", 0
+
+        def handle_starttag(self, tag: str, attrs: list) -> None:
+            css = dict(attrs).get("class") or ""
+            if tag == "div" and css == entry and self.field is None:
+                self.entries.append([None, None, None])
+                self.depth = 1
+                return
+            if self.depth and self.field is None and (k := wanted.get((tag, css))) is not None and self.entries[-1][k] is None:
+                self.field, self.tag, self.level = k, tag, 1
+                self.entries[-1][k] = ""
+            elif self.field is not None and tag == self.tag:
+                self.level += 1
+            elif self.field is not None and tag in ("br", "p"):
+                self.handle_data(" ")
+            if self.depth and tag == "div":
+                self.depth += 1
+
+        def handle_endtag(self, tag: str) -> None:
+            if self.field is not None and tag == self.tag:
+                self.level -= 1
+                if not self.level:
+                    self.field = None
+            if self.depth and tag == "div":
+                self.depth -= 1
+
+        def handle_data(self, data: str) -> None:
+            if self.field is not None:
+                self.entries[-1][self.field] += data
+
+    r = Reader()
+    r.feed(source)
+    r.close()
     out = []
-    for block in re.split(rf'<div class="{re.escape(entry)}">', source)[1:]:
-        who = re.search(rf'<h2 class="{re.escape(speaker)}">(.*?)</h2>', block, re.S)
-        when = re.search(rf'<span class="{re.escape(stamp)}">(.*?)</span>', block, re.S)
-        what = re.search(rf'<div class="{re.escape(said)}">(.*?)</div>', block, re.S)
+    for who, when, what in r.entries:
+        who, when, what = (" ".join((x or "").split()) for x in (who, when, what))
         if who and what:
-            clean = [html.unescape(re.sub(r"<[^>]+>", "", x[1])).strip() if x else "" for x in (who, when, what)]
-            out += [f"{clean[0]} [{clean[1]}]:" if clean[1] else f"{clean[0]}:", f"  {clean[2]}", ""]
+            out += [f"{who} [{when}]:" if when else f"{who}:", f"  {what}", ""]
     return "\n".join(out)
 
 

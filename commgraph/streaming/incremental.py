@@ -6,6 +6,7 @@ gives the same rows. State is bounded by a watermark wherever one can be given.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from commgraph.operators.similarity import added_lines
 from commgraph.runtime import scratch
 
 
@@ -26,24 +28,39 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream over all input there is and return what it wrote."""
+def drain(stream: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+    """Run a stream over all input there is and return what it wrote.
+
+    Complete results are those of the last micro-batch. In update mode each
+    micro-batch writes what changed into a folder of its own, which a repeated
+    one replaces, and of each of ``keys`` the last emission stands.
+    """
     spark = stream.sparkSession
     out, state = scratch(spark, "stream"), scratch(spark, "stream-state")
+    w = stream.writeStream.option("checkpointLocation", state).outputMode(mode).trigger(availableNow=True)
     if mode == "append":
-        q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+        q = w.format("parquet").option("path", out).start()
+    elif mode == "complete":
+        q = w.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start()
     else:
-        def whole(df: DataFrame, _: int) -> None:
-            df.write.mode("overwrite").parquet(out)
-
-        q = stream.writeStream.foreachBatch(whole).option("checkpointLocation", state).outputMode(mode).trigger(availableNow=True).start()
+        if not keys:
+            raise ValueError("update mode needs keys")
+        q = w.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/nth={n}")).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    if mode != "update":
+        return spark.read.schema(stream.schema).parquet(out)
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{out}/nth=-1")
+    rows = spark.read.option("basePath", out).parquet(out)
+    own = [c for c in stream.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*own), "nth").alias("_l")).select(*keys, *[F.col(f"_l.{c}").alias(c) for c in own]).select(*stream.columns)
 
 
-def new_articles(discovered: DataFrame, url: str = "url") -> DataFrame:
-    """The first row of each address, across batches."""
-    return discovered.dropDuplicates([url])
+def new_articles(discovered: DataFrame, url: str = "url", ts: str | None = None, late: str = "30 days") -> DataFrame:
+    """The first row of each address, across batches. With ``ts`` addresses are
+    remembered for ``late`` after they were last due, which bounds the state."""
+    if ts is None:
+        return discovered.dropDuplicates([url])
+    return discovered.withWatermark(ts, late).dropDuplicatesWithinWatermark([url])
 
 
 def activity(events: DataFrame, ts: str, key: str, window: str = "1 day", late: str = "2 days") -> DataFrame:
@@ -55,22 +72,56 @@ def counts(events: DataFrame, *keys: str) -> DataFrame:
     return events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def fold_stream(log: DataFrame, article: str = "article_id", stage: str = "stage") -> DataFrame:
-    """Keyed state of (article, stage): last status, failures so far, rows so far.
-    Emits the state after each batch; ``seq`` orders rows, also across batches."""
-    out = f"{article} long, {stage} string, seq long, status string, retry_count long"
+FOLDED = "status string, error_message string, retry_count long, completed_at string, processing_time double, file_path string, metadata string"
+
+
+def fold_stream(log: DataFrame, article: str = "article_id", stage: str = "stage", expire: int | None = None) -> DataFrame:
+    """The twin of :func:`commgraph.operators.state.fold_log`: keyed state of
+    (article, stage), emitted whenever it changes, ``metadata`` as JSON text.
+
+    ``seq`` orders rows, also across batches; a row replayed under a known
+    ``seq`` changes nothing. State holds the numbers seen of its key, which are
+    the attempts at one stage of one article. With ``expire`` milliseconds
+    without a new row a key's state is let go; its last emission stands.
+    """
+    given = {"error_message": "string", "completed_at": "string", "processing_time": "double", "file_path": "string", "metadata": "string"}
+    kind = log.schema[article].dataType.simpleString()
+    later = ("completed_at", "processing_time", "file_path")
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seq, status, failed = state.get if state.exists else (-1, "", 0)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = json.loads(state.get[0]) if state.exists else {"seen": [], "at": None, "last": [None, None], "failed": 0, "kept": {}, "meta": {}}
+        seen, changed = set(now["seen"]), False
         for p in parts:
-            failed += int((p["status"] == "FAILED").sum())
-            if len(p) and p["seq"].max() > seq:
-                last = p.loc[p["seq"].idxmax()]
-                seq, status = int(last["seq"]), str(last["status"])
-        state.update((seq, status, failed))
-        yield pd.DataFrame({article: [key[0]], stage: [key[1]], "seq": [seq], "status": [status], "retry_count": [failed]})
-
-    return log.select(article, stage, "seq", "status").groupBy(article, stage).applyInPandasWithState(step, out, "seq long, status string, failed long", "update", GroupStateTimeout.NoTimeout)
+            for r in p.astype(object).where(p.notna(), None).to_dict("records"):
+                n = int(r["seq"])
+                if n in seen:
+                    continue
+                seen.add(n)
+                changed = True
+                now["failed"] += r["status"] == "FAILED"
+                if now["at"] is None or n > now["at"]:
+                    now["at"], now["last"] = n, [r["status"], r["error_message"]]
+                for c in later:
+                    if r[c] is not None and n > now["kept"].get(c, [-1 << 63])[0]:
+                        now["kept"][c] = [n, r[c]]
+                for k, v in (json.loads(r["metadata"]) if r["metadata"] else {}).items():
+                    if n > now["meta"].get(k, [-1 << 63])[0]:
+                        now["meta"][k] = [n, v]
+        now["seen"] = sorted(seen)
+        state.update((json.dumps(now),))
+        if expire:
+            state.setTimeoutDuration(expire)
+        if changed:
+            kept = [now["kept"].get(c, [0, None])[1] for c in later]
+            meta = json.dumps({k: v for k, (_, v) in sorted(now["meta"].items())}) if now["meta"] else None
+            yield pd.DataFrame([[*key, *now["last"], now["failed"], *kept, meta]], columns=[article, stage, "status", "error_message", "retry_count", *later, "metadata"])
+
+    own = log.select(article, stage, "seq", "status", *[(F.col(c) if c in log.columns else F.lit(None)).cast(t).alias(c) for c, t in given.items()])
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout
+    return own.groupBy(article, stage).applyInPandasWithState(step, f"{article} {kind}, {stage} string, {FOLDED}", "state string", "update", timeout)
 
 
 def process_ready(source: DataFrame, done: Callable[[], DataFrame], key: str, work: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame], None], state: str):
@@ -86,3 +137,23 @@ def process_ready(source: DataFrame, done: Callable[[], DataFrame], key: str, wo
 def split_outcomes(rows: DataFrame, error: str = "error_message") -> tuple[DataFrame, DataFrame]:
     """(ok, failed): the dead letters keep their rows and what went wrong."""
     return rows.where(F.col(error).isNull()), rows.where(F.col(error).isNotNull())
+
+
+def scroll_delta(pages: DataFrame, session: str, seq: str, text: str) -> DataFrame:
+    """(session, seq, added): the lines that each page of a session adds to the one
+    before it, kept as keyed state; the first page adds all its lines."""
+    kind, order = (pages.schema[c].dataType.simpleString() for c in (session, seq))
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        old = state.get[0] if state.exists else ""
+        rows = pd.concat(list(parts)).sort_values("q")
+        out = []
+        for q, t in zip(rows["q"], rows["t"]):
+            out.append((key[0], q, added_lines(old, t or "")))
+            old = t or ""
+        state.update((old,))
+        yield pd.DataFrame(out, columns=["s", "q", "added"])
+
+    own = pages.select(F.col(session).alias("s"), F.col(seq).alias("q"), F.col(text).alias("t")).where("s IS NOT NULL")
+    made = own.groupBy("s").applyInPandasWithState(step, f"s {kind}, q {order}, added array<string>", "old string", "append", GroupStateTimeout.NoTimeout)
+    return made.withColumnsRenamed({"s": session, "q": seq})

@@ -162,7 +162,7 @@ def test_new_addresses_of_every_batch(spark, tmp_path):
 
     rows = [("a", 0), ("b", 1), ("a", 1), ("c", 2), ("b", 2), ("d", 7), ("d", 7), ("c", 7), (None, 3)]
     spark.createDataFrame(rows, "url string, batch_no int").write.parquet(f"{tmp_path}/discovered.parquet")
-    got = catalog.queries()["ref_F12_J6_new_urls_by_batch"](spark, str(tmp_path)).collect()
+    got = catalog.queries()["ref_F12_J6_new_urls"](spark, str(tmp_path)).collect()
     assert sorted((r["batch_no"], r["url"]) for r in got) == [(1, "b"), (2, "c"), (7, "d")]
 
 
@@ -171,7 +171,120 @@ def test_stage_log_keeps_every_event(spark):
 
     sf = "/root/testdata/sf0.001"
     events = spark.read.parquet(f"{sf}/events.parquet")
-    n, log = events.count(), K.stage_log(spark, sf, whole=True)
-    assert log.count() == K.stage_log_of(events, whole=True).count() == n > K.stage_log(spark, sf).count()
+    log = K.stage_log(spark, sf)
+    assert log.count() == events.count()
     assert log.where(state.stage_order(F.col("stage")) > F.col("article_id") % 7).count() == 0
-    assert K.QUERIES["ref_A6_S9_stage_fold_whole"](spark, sf).agg(F.sum("retry_count")).first()[0] == events.where("event_type = 'error'").count()
+    assert K.QUERIES["ref_A6_S9_stage_fold"](spark, sf).agg(F.sum("retry_count")).first()[0] == events.where("event_type = 'error'").count()
+
+
+def test_communication_nodes_and_constraints(spark):
+    schema = "id string, title string, content_type string, content_date string, source_url string, full_text string, word_count int, was_summarized boolean, compression_ratio double, n_nodes int"
+    rows = [("a", "T", "speech", "2024-01-02", "u", "x" * 100_000, 3, True, 0.5, 1)] * 2 + [("b", None, None, "", None, None, None, None, None, 2), (None, "t", "s", "d", "u", "x", 1, False, 1.0, 3)]
+    n = G.communication_nodes(spark.createDataFrame(rows, schema))
+    got = {r["id"]: tuple(r) for r in n.collect()}
+    assert set(got) == {"a", "b"} and got["b"] == ("b", "Unknown", "Unknown", "other", "Unknown", "", "", 0, False, 1.0) and got["a"][1] == "T" and len(n.columns) == 10
+    assert [tuple(r) for r in G.broken_constraints({"C": (n, "id"), "D": (n.unionAll(n), "id"), "E": (n.limit(0), "id")}).collect()] == [("C", 2, 0), ("D", 4, 2), ("E", 0, 0)]
+
+
+def test_chunks():
+    import random
+
+    from commgraph.operators.chunks import chunk, spans_of
+
+    rnd = random.Random(3)
+    for _ in range(500):
+        text = "".join(rnd.choice(["word ", "longer", "\n", "\n\n", " ", "x" * rnd.randint(1, 30)]) for _ in range(rnd.randint(0, 60)))
+        size, overlap = rnd.randint(20, 60), rnd.randint(0, 15)
+        cs = chunk(text, 0 if rnd.random() < 0.9 else 10**6, size, overlap)
+        assert cs[0][0] == 0 and cs[-1][1] == len(text)
+        for (a, b), (c, d) in zip(cs, cs[1:]):
+            assert a < c <= b < d and b - c <= overlap
+        longest = max((z - a for a, z in spans_of(text, 0, len(text), size)), default=0)
+        assert all(b - a <= max(size, longest) for a, b in cs) or len(cs) == 1
+    assert chunk("x" * 79_999) == [(0, 79_999)] and chunk("") == [(0, 0)] and len(chunk("word " * 20_000)) > 1
+
+
+def test_chunked_frame(spark):
+    from commgraph.operators.chunks import chunked
+
+    df = spark.createDataFrame([("a", "w " * 50_000, 1), ("b", "short", 2), ("c", None, 3), ("d", "", 4)], "id string, content string, chunk int")
+    got = {r["id"]: r["count"] for r in chunked(df, "id", "content").groupBy("id").count().collect()}
+    assert got["a"] == 3 and got["b"] == got["d"] == 1 and "c" not in got
+
+
+def test_retry_isolation_stages_and_guards(spark):
+    import dataclasses
+
+    from commgraph.config import RETRIES, RetryPolicy
+    from commgraph.operators.faults import isolated, retry
+    from commgraph.stage import Stage, guard
+
+    tries, waits = [], []
+
+    def work():
+        tries.append(1)
+        if len(tries) < 3:
+            raise ValueError("no")
+        return 7
+
+    assert retry(work, RetryPolicy(2, 10.0, 0.5), waits.append) == 7 and all(10 <= w <= 15 for w in waits) and len(waits) == 2
+    with pytest.raises(KeyError):
+        retry(lambda: {}["x"], RetryPolicy(1, 0.0), waits.append)
+    assert RETRIES["discover"].timeout == 1000 and RETRIES["filter"].timeout == 60
+    with pytest.raises(dataclasses.FrozenInstanceError):
+        RETRIES["graph"].retries = 9
+    df = spark.createDataFrame([(1, 2), (2, 0), (3, None)], "id int, d int")
+    out = {r["id"]: (r["q"], r["error_message"]) for r in isolated(df, ["id"], "q double", lambda r: {"q": 6 / r["d"]}).collect()}
+    assert out[1] == (3.0, None) and out[2][1].startswith("ZeroDivisionError") and set(out) == {1, 2, 3}
+    ok, log = Stage("filter", lambda x: x.withColumn("error_message", F.when(F.col("d") == 0, "zero"))).run(df, "id", "id")
+    assert ok.count() == 2 and {r["article_id"]: r["status"] for r in log.collect()}[2] == "FAILED"
+    with pytest.raises(ValueError):
+        Stage("nothing", lambda x: x)
+    assert guard(df, ["id", "d", "e"]) is df
+    with pytest.raises(ValueError):
+        guard(df, ["id"])
+
+
+def test_crawl_stops_and_reset(spark):
+    rows = [("s", b, u) for b, us in enumerate((["a", "b"], ["a"], [None, ""], ["c"], ["d"], ["e"], ["f"])) for u in us] + [(None, 1, "x")]
+    got = {r["batch"]: (r["page"], r["n_visited"], r["n_failed"], r["stop"]) for r in D.crawl_stops(spark.createDataFrame(rows, "q string, b int, u string"), "q", "b", "u", 5).collect()}
+    assert got[0] == (1, 0, 0, None) and got[1] == (2, 1, 0, "visited") and got[2] == (3, 0, 2, "no address") and got[5][3] == got[6][3] == "max pages" and got[4][3] is None
+    d = dt.date(2024, 5, 10)
+    rows = [(1, "a", d, False), (2, "a", d, False), (3, "a", d, True), (4, "a", d, False)]
+    out = D.batch_progress(spark.createDataFrame(rows, "b int, u string, d date, f boolean"), "b", "u", F.col("d"), "2024-05-10", F.col("f")).orderBy("batch").collect()
+    assert [r["barren_run"] for r in out] == [0, 1, 0, 1]
+
+
+def test_blocks_left_out_and_embedding(spark):
+    page = "<HEAD><title>t</title></HEAD><body><nav class='x'>m</nav>text<header>kept</header><script>1</script>\n<footer>f</footer ></body>"
+    assert one(spark, [(page,)], "t string", T.without_blocks("t"))[0][0] == "<body>text<header>kept</header>\n</body>"
+    a, b, c = (r[0] for r in one(spark, [("A b",), ("b a",), (None,)], "t string", T.embedding(F.col("t"))))
+    assert a == b and abs(sum(x * x for x in a) - 1) < 1e-9 and not any(c)
+
+
+def test_summary_keeps_order(spark):
+    from commgraph.operators.summarize import summaries
+
+    text = "One two three. Four five six! Seven eight nine? Ten."
+    df = spark.createDataFrame([("a", text), ("a", text), ("b", "Short one. Two."), ("c", None), ("d", "")], "id string, t string")
+    got = {r["doc"]: r["summary"] for r in summaries(df, "id", "t", 6).collect()}
+    assert set(got) == {"a", "b"} and got["b"] == "Short one. Two."
+    kept = got["a"].split(". ")
+    assert sorted(kept, key=text.index) == kept and len(got["a"].split()) <= 7
+
+
+def test_default_annotators(spark):
+    from commgraph import annotate as A
+
+    reg = spark.createDataFrame([("Ana Berg",), ("Carl Dunmore",), (None,)], "display_name string")
+    items = spark.createDataFrame([("i", "Debate: Ana Berg", "carl dunmore spoke"), ("j", "", None), (None, "x", "y")], "id string, title string, content string")
+    got = {r["id"]: (r["content_type"], r["active_speakers"]) for r in A.active_speakers(items, "id", "title", "content", reg).collect()}
+    assert got == {"i": ("debate", ["Ana Berg", "Carl Dunmore"]), "j": ("unknown", [])}
+    pages = spark.createDataFrame([(1, "[A b](/x) and ![img](/y) [C](z)"), (2, None)], "p int, md string")
+    assert sorted(tuple(r) for r in A.page_articles(pages, "p", "md").collect()) == [(1, "A b", "/x"), (1, "C", "z")]
+    p = spark.createDataFrame([("i", "Ana Berg", "We like Acme."), ("i", None, "Acme")], "id string, speaker string, t string")
+    e = spark.createDataFrame([("i", "Acme"), ("i", "Zed")], "id string, entity string")
+    assert [tuple(r)[:3] for r in A.attributed(p, "id", "speaker", "t", e, "entity").collect()] == [("i", "Ana Berg", "Acme")]
+    answers = iter(["bad", "good"])
+    call = A.structured(lambda prompt: (next(answers), {"input_tokens": 2}), lambda a: a if a == "good" else 1 / 0, A.RetryPolicy(1, 0.0))
+    assert call("q") == ("good", {"input_tokens": 4})
