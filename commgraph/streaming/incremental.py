@@ -82,7 +82,8 @@ def fold_stream(log: DataFrame, article: str = "article_id", stage: str = "stage
     ``seq`` orders rows, also across batches; a row replayed under a known
     ``seq`` changes nothing. State holds the numbers seen of its key, which are
     the attempts at one stage of one article. With ``expire`` milliseconds
-    without a new row a key's state is let go; its last emission stands.
+    without a new row a key's state is let go; its last emission stands. That is for
+    streams that go on: a drained one would wait for its timeouts for ever.
     """
     given = {"error_message": "string", "completed_at": "string", "processing_time": "double", "file_path": "string", "metadata": "string"}
     kind = log.schema[article].dataType.simpleString()

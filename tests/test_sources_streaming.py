@@ -115,7 +115,7 @@ def test_stream_fold_is_the_twin_of_the_batch_fold(spark, tmp_path):
     for k in range(0, len(order), 5):
         spark.createDataFrame(order[k : k + 5], schema).coalesce(1).write.mode("append").parquet(str(src))
     log = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-    got = I.drain(I.fold_stream(log, expire=3_600_000), "update", ["article_id", "stage"]).collect()
+    got = I.drain(I.fold_stream(log), "update", ["article_id", "stage"]).collect()
     want = fold_log(spark.read.schema(schema).parquet(str(src))).collect()
     assert len(got) == 3
     for w in want:
