@@ -20,8 +20,8 @@ Matches by proximity are chains: words of the item in order, each at most
 the one before, all in one document. A chain can step over the rarest word, but
 not over ``slack`` + 1 words in a row, so the anchors of each ``n`` consecutive
 words are then the ``slack`` + 1 neighbours with the fewest postings together.
-Around each anchor's posting the longest chains are found from the postings of
-the item's words nearby.
+Where an anchor's posting stands among enough of the item's words, the longest
+chains are found from the postings nearby.
 
 Segments are bounded by tokens, so hot terms, hot sources and very long texts
 need no care: a text longer than a segment is laid over several that overlap by
@@ -251,13 +251,21 @@ def _search_block(spark: SparkSession, postings: DataFrame, items: list[tuple[in
             yield from zip(in_doc(base[alive[good]] + ends[good]).tolist(), best[good].tolist())
 
         def near(tokens: list[str], places: list[int]) -> Iterator[tuple[int, int]]:
-            reach = len(tokens) * (slack + 1)
             seeds = np.unique(np.concatenate([at(tokens[k]) for k in places]))
-            if not len(seeds):
+            every = np.sort(np.concatenate([at(t) for t in set(tokens)]))
+            if not len(seeds) or len(every) < n:
+                return
+            # the n words of a chain stand within so many places, an anchor among them
+            wide = (n - 1) * (slack + 1)
+            first = every[: len(every) - n + 1][every[n - 1 :] - every[: len(every) - n + 1] <= wide]
+            next_ = np.searchsorted(seeds, first)
+            first = first[(next_ < len(seeds)) & (seeds[np.minimum(next_, len(seeds) - 1)] <= first + wide)]
+            if not len(first):
                 return
-            # stretches around the anchors' postings, those that meet as one
-            cut = np.flatnonzero(np.diff(seeds) > 2 * reach) + 1
-            lo, hi = seeds[np.insert(cut, 0, 0)] - reach, seeds[np.append(cut, len(seeds)) - 1] + reach
+            # stretches that hold the whole chain, those that meet as one
+            reach = len(tokens) * (slack + 1)
+            cut = np.flatnonzero(np.diff(first) > 2 * reach) + 1
+            lo, hi = first[np.insert(cut, 0, 0)] - reach, first[np.append(cut, len(first)) - 1] + reach
             where: dict[str, list[int]] = {}
             for k, t in enumerate(tokens):
                 where.setdefault(t, []).append(k)
