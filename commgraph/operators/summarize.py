@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from commgraph.functions import text as T
 
-NEAR, SLACK, LEAST, BLOCK = 3, 1.15, 3, 1024
+#: SLACK is in hundredths, as 200 * 1.15 is below 230 in floating point.
+NEAR, SLACK, LEAST, BLOCK = 3, 115, 3, 1024
 
 
 def centrality(sentences: DataFrame) -> DataFrame:
@@ -49,11 +50,11 @@ def centrality(sentences: DataFrame) -> DataFrame:
 
 def budgeted_prefix(scored: DataFrame, budget: int) -> DataFrame:
     """Of (doc, idx, score, tokens): the best sentences while their tokens stay
-    within ``budget`` times SLACK; the first that overflows ends the prefix.
+    within ``budget`` times SLACK hundredths; the first that overflows ends the prefix.
     Documents of fewer than three sentences are kept whole."""
     rank = Window.partitionBy("doc").orderBy(F.desc("score"), F.desc("idx"))
     s = scored.withColumn("used", F.sum("tokens").over(rank.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("doc")))
-    return s.where((F.col("n") < LEAST) | (F.col("used") <= int(budget * SLACK))).select("doc", "idx", "score", "tokens")
+    return s.where((F.col("n") < LEAST) | (F.col("used") <= budget * SLACK // 100)).select("doc", "idx", "score", "tokens")
 
 
 def split_sentences(docs: DataFrame, doc: str, text: str) -> DataFrame:

@@ -121,6 +121,12 @@ def test_budget_breaks_at_the_first_overflow(spark):
     assert got == {("d", 0), ("e", 0), ("e", 1)}
 
 
+def test_budgeted_prefix_reaches_the_exact_budget(spark):
+    rows = [("d", k, 9.0 - k, t) for k, t in enumerate([100, 100, 30, 1])]
+    got = {r["idx"] for r in budgeted_prefix(spark.createDataFrame(rows, "doc string, idx int, score double, tokens int"), 200).collect()}
+    assert got == {0, 1, 2}  # 230 words, which are 1.15 times 200
+
+
 def test_centrality_against_numpy(spark):
     np = pytest.importorskip("numpy")
     rnd = np.random.default_rng(1)
