@@ -69,6 +69,17 @@ def test_residue_is_learned_from_all_passages(spark):
     assert tuple(got) == (n, n + 10)
 
 
+def test_page_weights_are_learned_from_all_pages(spark):
+    """Each furniture line stands on two pages of 3,000: whatever is left out of the fit, some would not be known."""
+    rnd = random.Random(8)
+    pages = ["\n".join([f"Section {chr(97 + k // 2 % 26)}{chr(97 + k // 52 % 26)}{chr(97 + k // 1352)} | News", *(sentence(rnd) + f" Case {WORDS[k % 16]} {k}." for _ in range(2)), "Most read"]) for k in range(3000)]
+    df = spark.createDataFrame([(p,) for p in [*pages, *pages[:70], pages[0]]], "t string")
+    w, whole = B.learn(df, "t"), B.fit(pages)
+    assert all(B.plain(p.split("\n")[0]) in w.whole for p in pages) and not any(B.plain(p.split("\n")[1]) in w.whole for p in pages)
+    # the same as in one process, and a page that stands several times counts once
+    assert B.np.allclose(w.cells, whole.cells, atol=1e-5) and list(w.whole) == list(whole.whole) and B.np.allclose(w.whole.values[0], whole.whole.values[0])
+
+
 def test_furniture_is_learned_from_other_furniture():
     """Lines held out of the fit are still told from body, by words and shapes they share with those seen."""
     rnd = random.Random(4)
