@@ -62,6 +62,27 @@ def test_residue(spark):
     assert R.residue(df.limit(0), F.col("id"), "content").collect() == []
 
 
+def test_records_are_decided_together_as_alone():
+    rnd = random.Random(5)
+    texts = [page(rnd) for _ in range(30)] + ["404 Not Found", "", "Good evening.", page(rnd).replace("members", "{{ n }}"), "Please enable JavaScript to continue."] * 2
+    w = B.fit(texts)
+    own = [x for t in texts for x in R.seeded(t, w)]
+    f, sizes = R.features([p for p, _ in own])
+    model = None
+    for _ in range(5):
+        model = R.maximized(R.expected(f, sizes, R.np.array([s for _, s in own]) == 1, R.np.ones(len(own)), model))
+    got = R.decided(texts, model, w)
+    alone = [R.decided([t], model, w)[0] for t in texts]
+    assert [g[:2] for g in got] == [g[:2] for g in alone] and R.np.allclose([g[2] for g in got], [g[2] for g in alone])
+    assert [g[1] for g in got[30:]] == ["message", "", "", "placeholder", "message"] * 2
+
+
+def test_known_messages():
+    known = "Page not found|HTTP 503|Erreur 404|Could not load|was unable to open|Activate JavaScript|scripting appears|<noscript>|blah blah blah|Sample text. Sample text. |text text text text x|null|Rate limited|Gateway time-out|internal failure|Code status 500"
+    assert all(R.is_known(x) for x in known.split("|"))
+    assert not any(R.is_known(x) for x in "The script of 45 pages|Code 12|nullify|A gateway".split("|"))
+
+
 def test_residue_is_learned_from_all_passages(spark):
     n = 60_000  # of 160 characters each
     df = spark.range(n).select(F.rpad(F.concat(F.lit("Passage "), "id", F.lit(" of the record")), 160, " and so on").alias("t"))
