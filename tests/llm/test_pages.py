@@ -1,8 +1,10 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from commgraph.llm import boilerplate as B
+from commgraph.llm import frames
 from commgraph.llm import residue as R
 
 WORDS = "council budget river harvest minister school bridge union market border winter vote report money paper season".split()
@@ -140,3 +142,57 @@ def test_steps_go_on_until_the_model_stands_still():
     assert abs(mass[-1] - mass[-2]) < R.STILL * mass[-1]
     post = R.posterior(f, sizes, model)
     assert (post[:200] < 0.5).all() and (post[200:] > 0.5).all()
+
+
+def test_pages_and_sums_go_many_to_a_row(spark):
+    """The JVM gets a row for a slice of pages and for a block of sums, not one for each page, line or cell."""
+    rnd = random.Random(9)
+    many = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}{chr(97 + k // 17576)}" for k in range(70_000))  # more words than two bytes tell apart
+    pages = [page(rnd) for _ in range(1500)] + [many, "", " \n ", "***\n\n_"]
+    df = spark.createDataFrame([(f"p{k}", p) for k, p in enumerate(pages)] + [("none", None), (None, "No id.")], "id string, t string").coalesce(1)
+    taken = B.taken_apart(df, "t", F.col("id"))
+    assert taken.count() == 2
+    rows = [b for b in B.each(taken.toArrow().to_batches())]
+    got = [B.Taken.read(b) for b in rows]
+    texts = [*pages, "No id."]
+    want = B.Taken.of([x for p in texts for x in p.split("\n") if x.strip()])
+    for k in ("bits", "line", "word", "sizes"):
+        assert B.np.array_equal(B.np.concatenate([getattr(t, k) for t in got]), getattr(want, k)), k
+    assert [t.pages for t in got] == [B.SLICE, len(texts) - B.SLICE] and [x for b in rows for x in b["rec"][0].as_py()] == [*(f"p{k}" for k in range(len(pages))), None]
+    empty = B.taken_apart(df.where("t = ''"), "t", F.col("id"))
+    assert B.flags_of(empty, B.learn_taken(empty)).count() == 0
+    # the sums of several tasks, in several blocks and of several kinds
+    n = 3 * frames.BLOCK // 2
+    sums = frames.added(spark.range(0, 100, 1, 4), lambda batches: [B.np.full((2, n), float(sum(b.num_rows for b in batches))), B.np.ones((2, 1)), B.np.zeros((2, 5))], [n, 1, 5])
+    assert (sums[0] == 100).all() and sums[0].shape == (2, n) and (sums[1] == 4).all() and not sums[2].any()
+
+
+def test_words_are_those_of_the_patterns():
+    """Lines taken apart in arrays have the words that patterns find, on odd text too."""
+    rnd = random.Random(10)
+    word = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|#|[|·»›>/→←©°•–—:?!.;,()\[\]-]")
+    odd = "a B sign newsletter rock’n’roll don't a-b - -- ’ _ a_b 1 2,345.6 1..2 7, ٣ ۴ 𝟙 𝒳 😀 ² ½ İ ΑΣ ß é 中 # | · » . ? ! … ( ) [x](u) [ • * \t \xa0 \x1c \r (laughter) 00:12".split(" ")
+    lines = ["".join(rnd.choice(odd) + rnd.choice(["", " ", "  "]) for _ in range(rnd.randint(1, 20))) for _ in range(3000)] + ["", "x" * 3000, "x" * 2999 + "y", "x" * 300_000]
+    t, at = B.Taken.of(lines), 0
+    for k, line in enumerate(lines):
+        p, inner = B.plain(line), B.bare(line)[0]
+        ws = word.findall(p)
+        assert t.word[at : at + t.sizes[k]].tolist() == [B.xxhash.xxh32_intdigest(w) for w in ws], line[:99]
+        at += t.sizes[k]
+        one = {b: bool(t.bits[k] & b) for b in (B.SENTENCE, B.STOPS, B.NUMBERED, B.SHORT, B.ENDS, B.STOCKED, B.BIT["~sep"], B.OF_SIZE[min(len(inner.split()), 16)])}
+        assert list(one.values()) == [B.is_sentence(line), any(B.INTERRUPTIONS.search(w) for w in ws), "#" in p, len(inner.split()) <= B.PHRASE, p[-1:] in tuple(".?!"), bool(B.TIMED.match(line)) or B.is_sound(line), not B.SEPARATORS.isdisjoint(ws), True], line[:99]
+        assert t.line[k] == B.line_hash(p)
+    f, sizes = R.features(lines)
+    for k, line in enumerate(lines):
+        ws = [B.xxhash.xxh32_intdigest("#" if re.search(r"\d", w) else w) for w in re.findall(r"[^\W_]+", line.lower())]
+        own = f[sizes[:k].sum() : sizes[: k + 1].sum()]
+        assert {w % R.LINES for w in ws} <= set(own.tolist()) and len(own) <= 2 * len(ws)
+
+
+def test_marks_are_those_of_the_pattern():
+    rnd = random.Random(11)
+    odd = "a XX /YY AB-12 NaN undefined { } {{n}} {% %} <% <B> ${a} #{b} [[X_Y]] [x] %(a)s %%D%% @@E@@ __f__ __ $G_H$ $ % @ _ \n (laughter) [applause] <music>".split(" ")
+    for _ in range(4000):
+        text = "".join(rnd.choice(odd) + rnd.choice(["", "", " "]) for _ in range(rnd.randint(1, 12)))
+        some = any(c in text for c in R.BEGIN) or re.search(r"undefined|NaN|[A-Z]{2}[/.-][A-Z]", text)
+        assert R.marks_of(text) == ([m[0] for m in R.MARK.finditer(text) if not B.NOISE.search(m[0])] if some else []), text
